@@ -39,7 +39,7 @@ from skein.llm.textarrays import slices
 
 MAGIC = b"SKTOKEN1"
 SHARD_TOKENS = 4_000_000
-MEMO_PIECES = 600_000
+MEMO_PIECES = 1_000_000
 
 
 # -- the number coding ------------------------------------------------------
@@ -55,19 +55,19 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     padded[: len(v)] = code
     q = padded.reshape(-1, 4)
     control = q[:, 0] | q[:, 1] << 2 | q[:, 2] << 4 | q[:, 3] << 6
-    used = np.arange(4, dtype=np.uint8)[None, :] <= code[:, None]
-    return control.tobytes(), np.ascontiguousarray(v).view(np.uint8).reshape(-1, 4)[used].tobytes()
+    width = int(code.max(initial=0)) + 1
+    used = np.arange(width, dtype=np.uint8)[None, :] <= code[:, None]
+    return control.tobytes(), np.ascontiguousarray(v).view(np.uint8).reshape(-1, 4)[:, :width][used].tobytes()
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     byte = np.arange(256)
     size = np.stack([(byte >> 2 * k & 3) + 1 for k in range(4)], axis=1)
-    return size.astype(np.int64), (np.cumsum(size, axis=1) - size).astype(np.int64)
+    return size.astype(np.uint8), (np.cumsum(size, axis=1) - size).astype(np.int64), size.sum(axis=1)
 
 
-#: By control byte: the lengths of its 4 values, and where each begins among their bytes.
-SIZE, PLACE = _tables()
-_MASK = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
+#: By control byte: the lengths of its 4 values, where each begins among their bytes, and all their bytes.
+SIZE, PLACE, TOTAL = _tables()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -75,14 +75,13 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     if n == 0:
         return np.zeros(0, np.uint32)
     c = np.frombuffer(control, np.uint8)
-    size = SIZE[c]
-    total = size.sum(axis=1)
+    total = TOTAL[c]
     begin = np.cumsum(total) - total
     at = (begin[:, None] + PLACE[c]).reshape(-1)[:n]
     d = np.frombuffer(data + b"\0\0\0", np.uint8)
     out = d[at].astype(np.uint32)
-    size = size.reshape(-1)[:n]
-    for k in (1, 2, 3):
+    size = SIZE[c].reshape(-1)[:n]
+    for k in range(1, int(size.max())):
         more = np.flatnonzero(size > k)
         if len(more):
             out[more] |= d[at[more] + k].astype(np.uint32) << np.uint32(8 * k)
@@ -114,8 +113,9 @@ class Encoder:
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit 16 bits here")
         self.special = tuple(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
-        self.later: dict[str, bytes | None] = {}  # after a space
-        self.first: dict[str, bytes | None] = {}  # at the beginning of a line
+        #: Ids by what stands between two spaces, the space before it included. A piece that begins
+        #: with a line break has no space before it. 0: left to the library.
+        self.memo: dict[str, bytes | int] = {}
         self.line_break, comma, stop = self._encode(["\n", ",", "."])
         self.mark = {",": comma, ".": stop}
         self.model = self.tokenizer.model
@@ -139,54 +139,65 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """The ids of one word by the library's model."""
-        return array("H", [x.id for x in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
-
-    def _learn(self, strings: set[str], memo: dict, lead: str) -> None:
-        # a string with white space in it, which is not the library's space, is left to the library
-        odd = [s for s in strings if s and s.split() != [s]]
-        memo.update(dict.fromkeys(odd))
-        rest = []
-        for s in strings.difference(odd):
-            word = s.rstrip(".,")
-            if word.isalpha() and max(word) < "\u0250" and (s == word or len(s) == len(word) + 1):
-                ids = memo.get(word) or self._word(lead + word)
-                memo[word] = ids
-                if s != word:
-                    memo[s] = ids + self.mark[s[-1]]
-            elif s:
-                rest.append(s)
-        memo.update(zip(rest, self._encode([lead + s for s in rest])))
-        if "" in strings:
-            memo[""] = b"" if not lead else None
+        if word.isascii():
+            shown = "\u0120" + word[1:] if word[0] == " " else word
+        else:
+            shown = word.encode().decode("latin-1").translate(self.letters)
+        return array("H", [x.id for x in self.model.tokenize(shown)]).tobytes()
+
+    def _learn(self, pieces: set[str]) -> None:
+        memo, rest, word_ids, marks = self.memo, [], self._word, self.mark
+        for p in pieces:
+            if p.isalpha() and max(p) < "\u0250":  # most pieces: a word after a space
+                memo[p] = word_ids(" " + p)
+                continue
+            brk, lead, s = (self.line_break, "", p[1:]) if p[:1] == "\n" else (b"", " ", p)
+            word, mark = (s[:-1], marks[s[-1]]) if s[-1:] in marks else (s, b"")
+            if not s:
+                memo[p] = brk or 0
+            elif word.isalpha() and max(word) < "\u0250":
+                ids = memo.get(word) if lead else None
+                if not ids:
+                    ids = word_ids(lead + word)
+                    if lead:
+                        memo[word] = ids
+                memo[p] = brk + ids + mark
+            elif s.split() != [s]:
+                memo[p] = 0  # white space of another kind
+            else:
+                rest.append((p, brk, lead + s))
+        for (p, brk, _), ids in zip(rest, self._encode([x for _, _, x in rest])):
+            memo[p] = brk + ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 16-bit integers."""
-        cut: list[list[list[str]] | None] = []
-        first, later = set(), set()
+        if len(self.memo) > MEMO_PIECES:
+            self.memo.clear()
+        get, cut, new = self.memo.get, [], set()
         for t in texts:
             if not self._plain(t):
                 cut.append(None)
                 continue
-            lines = [line.split(" ") for line in t.split("\n")]
-            for pieces in lines:
-                first.add(pieces[0])
-                later.update(pieces[1:])
-            cut.append(lines)
-        first.difference_update(self.first)
-        later.difference_update(self.later)
-        if first and len(self.first) + len(first) > MEMO_PIECES or later and len(self.later) + len(later) > MEMO_PIECES:
-            # what this batch needs must be there as a whole
-            self.first.clear(), self.later.clear()
-            first = {p[0] for lines in cut if lines for p in lines}
-            later = {x for lines in cut if lines for p in lines for x in p[1:]}
-        self._learn(first, self.first, "")
-        self._learn(later, self.later, " ")
+            pieces = ("\n" + t).replace("\n", " \n").split(" ")[1:]
+            ids = list(map(get, pieces))
+            gaps = None
+            if None in ids:
+                gaps = [(k, pieces[k]) for k, x in enumerate(ids) if x is None]
+                new.update(p for _, p in gaps)
+            cut.append((ids, gaps))
+        self._learn(new)
         out: list[bytes | None] = []
-        head, tail, brk = self.first.__getitem__, self.later.__getitem__, self.line_break
-        for lines in cut:
+        skip = len(self.line_break)
+        for x in cut:
+            if x is None:
+                out.append(None)
+                continue
+            ids, gaps = x
+            for k, p in gaps or ():
+                ids[k] = get(p)
             try:
-                out.append(None if lines is None else brk.join([b"".join([head(p[0]), *map(tail, p[1:])]) for p in lines]))
-            except TypeError:  # a string left to the library
+                out.append(b"".join(ids)[skip:])
+            except TypeError:  # a piece left to the library
                 out.append(None)
         rest = [k for k, x in enumerate(out) if x is None]
         for k, x in zip(rest, self._encode([texts[k] for k in rest])):
@@ -325,7 +336,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/shards")
     blobs = files.select(F.regexp_extract("path", r"shard=([0-9-]+)/part", 1).alias("shard"), "content").where("shard <> ''")
     docs = blobs.mapInArrow(run, _READ)
-    sizes = docs.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
+
+    def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [int(np.frombuffer(h.as_py(), "<u8", 1, 16)[0]) for h in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["shard", "n"])
+
+    # the number of ids stands in a file's first bytes
+    sizes = blobs.select("shard", F.substring("content", 1, 40)).mapInArrow(size, "shard string, n long")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     begins = sizes.select(F.col("shard").alias("__shard"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
     return docs.join(begins, F.col("shard") == F.col("__shard")).select(
