@@ -45,8 +45,17 @@ MEMO_PIECES = 1_000_000
 # -- the number coding ------------------------------------------------------
 
 
+#: Values that are coded at once (a multiple of 4), so that the work stays in the processor's caches.
+BLOCK = 1 << 17
+
+
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of unsigned 32-bit values."""
+    parts = [_pack(values[k : k + BLOCK]) for k in range(0, len(values), BLOCK)]
+    return b"".join(c for c, _ in parts), b"".join(d for _, d in parts)
+
+
+def _pack(values: np.ndarray) -> tuple[bytes, bytes]:
     v = values.astype("<u4", copy=False)
     code = (v > 0xFF).astype(np.uint8)
     code += v > 0xFFFF
@@ -72,19 +81,22 @@ SIZE, PLACE, TOTAL = _tables()
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` values that :func:`pack` coded."""
-    if n == 0:
-        return np.zeros(0, np.uint32)
-    c = np.frombuffer(control, np.uint8)
-    total = TOTAL[c]
-    begin = np.cumsum(total) - total
-    at = (begin[:, None] + PLACE[c]).reshape(-1)[:n]
-    d = np.frombuffer(data + b"\0\0\0", np.uint8)
-    out = d[at].astype(np.uint32)
-    size = SIZE[c].reshape(-1)[:n]
-    for k in range(1, int(size.max())):
-        more = np.flatnonzero(size > k)
-        if len(more):
-            out[more] |= d[at[more] + k].astype(np.uint32) << np.uint32(8 * k)
+    out = np.empty(n, np.uint32)
+    c, d = np.frombuffer(control, np.uint8), np.frombuffer(data + b"\0\0\0", np.uint8)
+    begin = 0
+    for k in range(0, n, BLOCK):
+        m = min(BLOCK, n - k)
+        codes = c[k // 4 : (k + m + 3) // 4]
+        total = TOTAL[codes]
+        ends = np.cumsum(total)
+        at = ((ends - total + begin)[:, None] + PLACE[codes]).reshape(-1)[:m]
+        size = SIZE[codes].reshape(-1)[:m]
+        v = d[at].astype(np.uint32)
+        for b in range(1, int(size.max())):
+            more = np.flatnonzero(size > b)
+            v[more] |= d[at[more] + b].astype(np.uint32) << np.uint32(8 * b)
+        out[k : k + m] = v
+        begin += int(size.sum(dtype=np.int64))
     return out
 
 
@@ -116,6 +128,7 @@ class Encoder:
         #: Ids by what stands between two spaces, the space before it included. A piece that begins
         #: with a line break has no space before it. 0: left to the library.
         self.memo: dict[str, bytes | int] = {}
+        self.older: dict[str, bytes | int] = {}  # the memo before, from which what recurs is taken over
         self.line_break, comma, stop = self._encode(["\n", ",", "."])
         self.mark = {",": comma, ".": stop}
         self.model = self.tokenizer.model
@@ -146,8 +159,12 @@ class Encoder:
         return array("H", [x.id for x in self.model.tokenize(shown)]).tobytes()
 
     def _learn(self, pieces: set[str]) -> None:
-        memo, rest, word_ids, marks = self.memo, [], self._word, self.mark
+        memo, older, rest, word_ids, marks = self.memo, self.older.get, [], self._word, self.mark
         for p in pieces:
+            ids = older(p)
+            if ids is not None:
+                memo[p] = ids
+                continue
             if p.isalpha() and max(p) < "\u0250":  # most pieces: a word after a space
                 memo[p] = word_ids(" " + p)
                 continue
@@ -171,8 +188,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 16-bit integers."""
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
+        if len(self.memo) > MEMO_PIECES // 2:
+            self.memo, self.older = {}, self.memo
         get, cut, new = self.memo.get, [], set()
         for t in texts:
             if not self._plain(t):
@@ -212,7 +229,7 @@ def encoder(path: str) -> Encoder:
 
 # -- the steps ----------------------------------------------------------------
 
-_SHARDS = "part int, seq int, doc_ids binary, nulls binary, counts binary, n_tokens long, ids binary"
+_SHARDS = "part int, seq int, doc_ids binary, nulls binary, counts binary, n_tokens long, ids binary, seen array<int>, seen_n array<long>"
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
@@ -230,13 +247,12 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens: int =
         doc, nulls, counts, blobs, size, seq, number = [], [], [], [], 0, 0, 0
 
         def shard():
-            return pa.RecordBatch.from_pylist(
-                [{
-                    "part": number, "seq": seq, "doc_ids": np.array(doc, "<i8").tobytes(), "nulls": bytes(nulls),
-                    "counts": np.array(counts, "<i8").tobytes(), "n_tokens": size, "ids": b"".join(blobs),
-                }],
-                schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("doc_ids", pa.binary()), ("nulls", pa.binary()), ("counts", pa.binary()), ("n_tokens", pa.int64()), ("ids", pa.binary())]),
-            )
+            ids = b"".join(blobs)
+            total = np.bincount(np.frombuffer(ids, "<u2"))
+            seen = np.flatnonzero(total)
+            row = [number, seq, np.array(doc, "<i8").tobytes(), bytes(nulls), np.array(counts, "<i8").tobytes(), size, ids, seen, total[seen]]
+            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=[x.split()[0] for x in _SHARDS.split(", ")])
 
         for batch in batches:
             for part in slices(batch):
@@ -257,15 +273,8 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens: int =
 def ranks(shards: DataFrame) -> list[int]:
     """Ids by falling frequency over all documents (ties: by id); one entry for each id that occurs."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for b in batch.column(0):
-                total += np.bincount(np.frombuffer(b.as_buffer(), "<u2"), minlength=1 << 16)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["id", "n"])
-
-    rows = shards.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    pairs = shards.select(F.explode(F.arrays_zip("seen", "seen_n")).alias("x")).select(F.col("x.seen").alias("id"), F.col("x.seen_n").alias("n"))
+    rows = pairs.groupBy("id").agg(F.sum("n").alias("n")).collect()
     return [r.id for r in sorted(rows, key=lambda r: (-r.n, r.id))]
 
 
