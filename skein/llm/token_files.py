@@ -39,7 +39,7 @@ from skein.llm.textarrays import slices
 
 MAGIC = b"SKTOKEN1"
 SHARD_TOKENS = 4_000_000
-MEMO_PIECES = 1_000_000
+MEMO_PIECES = 1_700_000
 
 
 # -- the number coding ------------------------------------------------------
@@ -128,7 +128,6 @@ class Encoder:
         #: Ids by what stands between two spaces, the space before it included. A piece that begins
         #: with a line break has no space before it. 0: left to the library.
         self.memo: dict[str, bytes | int] = {}
-        self.older: dict[str, bytes | int] = {}  # the memo before, from which what recurs is taken over
         self.line_break, comma, stop = self._encode(["\n", ",", "."])
         self.mark = {",": comma, ".": stop}
         self.model = self.tokenizer.model
@@ -159,14 +158,11 @@ class Encoder:
         return array("H", [x.id for x in self.model.tokenize(shown)]).tobytes()
 
     def _learn(self, pieces: set[str]) -> None:
-        memo, older, rest, word_ids, marks = self.memo, self.older.get, [], self._word, self.mark
+        memo, rest, word_ids, marks = self.memo, [], self._word, self.mark
         for p in pieces:
-            ids = older(p)
-            if ids is not None:
-                memo[p] = ids
-                continue
             if p.isalpha() and max(p) < "\u0250":  # most pieces: a word after a space
-                memo[p] = word_ids(" " + p)
+                if p not in memo:
+                    memo[p] = word_ids(" " + p)
                 continue
             brk, lead, s = (self.line_break, "", p[1:]) if p[:1] == "\n" else (b"", " ", p)
             word, mark = (s[:-1], marks[s[-1]]) if s[-1:] in marks else (s, b"")
@@ -188,8 +184,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 16-bit integers."""
-        if len(self.memo) > MEMO_PIECES // 2:
-            self.memo, self.older = {}, self.memo
+        if len(self.memo) > MEMO_PIECES:
+            self.memo.clear()
         get, cut, new = self.memo.get, [], set()
         for t in texts:
             if not self._plain(t):
@@ -199,8 +195,12 @@ class Encoder:
             ids = list(map(get, pieces))
             gaps = None
             if None in ids:
-                gaps = [(k, pieces[k]) for k, x in enumerate(ids) if x is None]
-                new.update(p for _, p in gaps)
+                gaps = []
+                for k, x in enumerate(ids):
+                    if x is None:
+                        p = pieces[k]
+                        gaps.append((k, p))
+                        new.add(p)
             cut.append((ids, gaps))
         self._learn(new)
         out: list[bytes | None] = []
@@ -210,9 +210,9 @@ class Encoder:
                 out.append(None)
                 continue
             ids, gaps = x
-            for k, p in gaps or ():
-                ids[k] = get(p)
             try:
+                for k, p in gaps or ():
+                    ids[k] = get(p)
                 out.append(b"".join(ids)[skip:])
             except TypeError:  # a piece left to the library
                 out.append(None)
