@@ -39,7 +39,7 @@ from skein.llm.textarrays import slices
 
 MAGIC = b"SKTOKEN1"
 SHARD_TOKENS = 4_000_000
-MEMO_PIECES = 1_700_000
+MEMO_PIECES = 2_000_000
 
 
 # -- the number coding ------------------------------------------------------
@@ -130,7 +130,7 @@ class Encoder:
         self.memo: dict[str, bytes | int] = {}
         self.line_break, comma, stop = self._encode(["\n", ",", "."])
         self.mark = {",": comma, ".": stop}
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         #: The letters that stand for bytes in the vocabulary, as the library's own alphabet step gives them.
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -140,6 +140,7 @@ class Encoder:
             if c.isalpha() or c == " ":
                 ((word, _),) = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c)
                 shown.update(zip(c.encode().decode("latin-1"), word))
+        self.space = shown[" "]
         self.letters = str.maketrans({c: shown[c] for c in latin if c in shown})
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -149,21 +150,24 @@ class Encoder:
     def _plain(self, text: str) -> bool:
         return not ("  " in text or " \n" in text or "\n\n" in text or any(s in text for s in self.special))
 
-    def _word(self, word: str) -> bytes:
-        """The ids of one word by the library's model."""
-        if word.isascii():
-            shown = "\u0120" + word[1:] if word[0] == " " else word
-        else:
-            shown = word.encode().decode("latin-1").translate(self.letters)
-        return array("H", [x.id for x in self.model.tokenize(shown)]).tobytes()
+    def _word(self, word: str, lead: str) -> bytes:
+        """The ids of one word of letters, after ``lead`` (a space's letter, or nothing), by the library's model."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return array("H", [x.id for x in self.tokenize(lead + word)]).tobytes()
 
     def _learn(self, pieces: set[str]) -> None:
-        memo, rest, word_ids, marks = self.memo, [], self._word, self.mark
+        memo, rest, word_ids, marks, tokenize, space = self.memo, [], self._word, self.mark, self.tokenize, self.space
         for p in pieces:
-            if p.isalpha() and max(p) < "\u0250":  # most pieces: a word after a space
-                if p not in memo:
-                    memo[p] = word_ids(" " + p)
-                continue
+            if p.isalpha():  # most pieces: a word after a space
+                if p in memo:
+                    continue
+                if p.isascii():
+                    memo[p] = array("H", [x.id for x in tokenize(space + p)]).tobytes()
+                    continue
+                if max(p) < "\u0250":
+                    memo[p] = word_ids(p, space)
+                    continue
             brk, lead, s = (self.line_break, "", p[1:]) if p[:1] == "\n" else (b"", " ", p)
             word, mark = (s[:-1], marks[s[-1]]) if s[-1:] in marks else (s, b"")
             if not s:
@@ -171,7 +175,7 @@ class Encoder:
             elif word.isalpha() and max(word) < "\u0250":
                 ids = memo.get(word) if lead else None
                 if not ids:
-                    ids = word_ids(lead + word)
+                    ids = word_ids(word, lead and space)
                     if lead:
                         memo[word] = ids
                 memo[p] = brk + ids + mark
@@ -267,7 +271,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens: int =
         if doc:
             yield shard()
 
-    return written(ordered.mapInArrow(to_shards, _SHARDS), "token-shards")
+    return written(ordered.mapInArrow(to_shards, _SHARDS), "token-shards", "snappy")
 
 
 def ranks(shards: DataFrame) -> list[int]:
