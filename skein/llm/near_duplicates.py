@@ -16,10 +16,11 @@ similarity of their multisets, sum of minima over sum of maxima, is at least
   probability of their weighted Jaccard similarity, without bias.
 * Exact copies (equal words) are one text from there on.
 * Bands of ``ROWS`` components give buckets. In each shared bucket all texts are
-  compared with its hub, the text with the most company in its buckets, then
-  what is still apart with a second hub, then every pair of the bucket that is
-  not yet in one class, once. Texts of one class are not paired again. A pair is
-  left out only where the sizes alone exclude the similarity.
+  compared with its hub, the text with the most company in its buckets. Buckets
+  that still hold several classes are compared fully: pair by pair if they are
+  small, else in blocks that keep the pairs inside a task (:func:`blockwise`).
+  Texts of one class are not paired again. A pair is left out only where the
+  sizes alone exclude the similarity.
 * Every pair is verified on the whole multisets.
 
 A pair of similarity exactly 0.8 shares no bucket with probability 3e-6, a more
@@ -47,6 +48,8 @@ from skein.llm.textarrays import SPACE, Texts, grams, mix, owners, slices
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 5
+#: Up to so many texts, a bucket's pairs become rows; larger buckets are compared in blocks of BLOCK texts.
+SMALL, BLOCK = 12, 1024
 #: Ids that may be broadcast to select rows of the input: 8 bytes each.
 BROADCAST_IDS = 4_000_000
 
@@ -268,31 +271,85 @@ def links(docs: DataFrame, signed: DataFrame, kinds: DataFrame, threshold: float
         joined = members.join(hubs, "bucket").where((F.col("doc") != F.col("hub")) & possible("n", "hub_n"))
         return joined.select(*_ordered("doc", "hub")).distinct()
 
-    tried = [written(star(ranked, hub(ranked)), "near-pairs")]
-    found = [written(verified(tried[0], pool, threshold), "near-links")]
-    for again in (True, False):
-        root = components(reduce(DataFrame.unionByName, found))
-        rooted = ranked.join(root, "doc", "left").select("bucket", "doc", "n", "degree", F.coalesce("root", "doc").alias("root"))
-        open_ = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
-        members = written(rooted.join(open_, "bucket", "left_semi"), "near-open")
-        if members.isEmpty():
-            break
-        if again:
-            # a second hub among what the first did not draw in
-            first = hub(members).join(members.select("bucket", F.col("doc").alias("hub"), F.col("root").alias("hub_root")).distinct(), ["bucket", "hub"])
-            rest = members.join(first.select("bucket", "hub_root"), "bucket").where("root <> hub_root").drop("hub_root")
-            pairs = star(rest, hub(rest))
-        else:
-            # every pair of different classes, once
-            x, y = members.alias("x"), members.alias("y")
-            pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root")) & possible("x.n", "y.n"))
-            pairs = pairs.select(*_ordered("x.doc", "y.doc")).distinct()
-        new = written(pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti"), "near-pairs")
-        tried.append(new)
-        found.append(written(verified(new, pool, threshold), "near-links"))
+    tried = written(star(ranked, hub(ranked)), "near-pairs")
+    found = [written(verified(tried, pool, threshold), "near-links")]
+    root = components(found[0])
+    rooted = ranked.join(root, "doc", "left").select("bucket", "doc", "n", F.coalesce("root", "doc").alias("root"))
+    open_ = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members")).where("x <> y")
+    members = written(rooted.join(open_.select("bucket", "members"), "bucket"), "near-open")
+    # small buckets: every pair of different classes, once; there are at most SMALL / 2 a member
+    small = members.where(F.col("members") <= SMALL)
+    x, y = small.alias("x"), small.alias("y")
+    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root")) & possible("x.n", "y.n"))
+    pairs = pairs.select(*_ordered("x.doc", "y.doc")).distinct().join(tried, ["a", "b"], "left_anti")
+    found.append(written(verified(pairs, pool, threshold), "near-links"))
+    # large ones: whole blocks
+    found.append(written(blockwise(members.where(F.col("members") > SMALL), pool, threshold), "near-links"))
     return reduce(DataFrame.unionByName, found)
 
 
+def blockwise(members: DataFrame, pool: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Links between classes inside large buckets, without a row for each pair.
+
+    A bucket is dealt into blocks of about ``BLOCK`` texts, and each task holds two
+    of them (or the one there is), finds all overlaps of a text with the block by
+    its shingles' posting lists, and returns only links that join classes.
+    """
+    n_blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("long")
+    dealt = members.withColumn("n_blocks", n_blocks).withColumn("own", F.pmod(F.xxhash64("doc"), "n_blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+    dealt = dealt.where("own <> other OR n_blocks = 1").select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc", "root")
+    texts = dealt.join(pool.select(F.col("doc_id").alias("doc"), "text"), "doc")
+
+    def run(table: pa.Table) -> pa.Table:
+        docs, roots = table.column("doc").to_numpy(), table.column("root").to_numpy()
+        return pa.table(dict(zip(("a", "b"), block_links(docs, roots, table.column("text"), threshold))))
+
+    return texts.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
+
+
+def block_links(docs: np.ndarray, roots: np.ndarray, texts: pa.ChunkedArray, threshold: float = THRESHOLD) -> tuple[pa.Array, pa.Array]:
+    """Links of similarity ``threshold`` or more that join the classes ``roots`` of a block, exactly."""
+    n = len(docs)
+    shingle, who, weight = [], [], []
+    base = 0
+    for part in slices(pa.RecordBatch.from_arrays([texts.combine_chunks()], names=["text"])):
+        h, w, k = weighted(*shingles(Texts(part.column(0))))
+        shingle.append(h), who.append(w + base), weight.append(k)
+        base += part.num_rows
+    code = np.unique(np.concatenate(shingle), return_inverse=True)[1]
+    who, weight = np.concatenate(who), np.concatenate(weight)
+    total = np.bincount(who, weights=weight, minlength=n)
+    bounds = np.searchsorted(who, np.arange(n + 1))
+    # posting lists by shingle
+    order = np.argsort(code, kind="stable")
+    post_who, post_weight = who[order], weight[order]
+    begin = np.searchsorted(code[order], np.arange(int(code.max(initial=-1)) + 2))
+    parent = {r: r for r in set(roots.tolist())}
+
+    def top(r: int) -> int:
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    kinds, size = np.unique(roots, return_counts=True)
+    largest = kinds[np.argmax(size)]
+    a, b = [], []
+    for x in np.flatnonzero(roots != largest).tolist():
+        own = code[bounds[x] : bounds[x + 1]]
+        times = begin[own + 1] - begin[own]
+        at = np.repeat(begin[own] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+        least = np.minimum(np.repeat(weight[bounds[x] : bounds[x + 1]], times), post_weight[at])
+        both = np.bincount(post_who[at], weights=least, minlength=n)
+        for y in np.flatnonzero(both >= (threshold - 1e-12) * (total + total[x] - both)).tolist():
+            r, q = top(int(roots[x])), top(int(roots[y]))
+            if r != q and total[y] > 0:
+                parent[r] = q
+                a.append(min(docs[x], docs[y])), b.append(max(docs[x], docs[y]))
+    return pa.array(a, pa.int64()), pa.array(b, pa.int64())
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, class_id, is_first`` for every row: the class's least id, and whether it is this one."""
     signed = written(signatures(docs), "near-signed")
