@@ -22,13 +22,16 @@ document in a template's count, and each row gets its own result.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.scratch import written
 
 FIELD = "<*>"
+#: Keys of shared leaves that may be broadcast (8 bytes each); more are joined by a shuffle.
+BROADCAST_LEAVES = 2_000_000
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -44,17 +47,25 @@ class TemplateRules:
     min_docs: int = 10
 
 
+def _masked(text: Column) -> Column:
+    """Tokens with a digit become the field's mark."""
+    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(text)
+
+
 def lines(docs: DataFrame, rules: TemplateRules = TemplateRules()) -> DataFrame:
-    """``doc_id, line_no, tokens, leaf``: the lines that can have a template; numbers start at 1."""
+    """``doc_id, line_no, line, leaf``: the lines that can have a template; numbers start at 1.
+
+    ``line`` has single spaces and is not masked yet. Plain string functions do
+    the work on all lines; regular expressions see odd white space and digits only.
+    """
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("pos", "line"))
-    trimmed = F.regexp_replace("line", rf"^{SPACES}|{SPACES}$", "")
-    cut = cut.select("doc_id", (F.col("pos") + 1).cast("long").alias("line_no"), F.split(trimmed, SPACES).alias("raw")).where(
-        F.size("raw") >= rules.min_tokens
-    )
-    masked = F.transform("raw", lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
-    cut = cut.select("doc_id", "line_no", masked.alias("tokens"))
-    leaf = F.concat_ws(" ", F.size("tokens").cast("string"), F.slice("tokens", 1, rules.depth))
-    return cut.withColumn("leaf", leaf)
+    odd = reduce(lambda a, b: a | b, (F.contains("line", F.lit(c)) for c in ("  ", "\t", "\x0b", "\x0c", "\r")))
+    single = F.when(odd, F.regexp_replace("line", SPACES, " ")).otherwise(F.col("line"))
+    cut = cut.select("doc_id", (F.col("pos") + 1).cast("long").alias("line_no"), F.btrim(single).alias("line")).where("line <> ''")
+    n = F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1
+    cut = cut.withColumn("n", n).where(F.col("n") >= rules.min_tokens)
+    lead = _masked(F.substring_index("line", " ", rules.depth))
+    return cut.select("doc_id", "line_no", "line", F.concat_ws(" ", F.col("n").cast("string"), lead).alias("leaf"))
 
 
 def templates(docs: DataFrame, rules: TemplateRules = TemplateRules()) -> tuple[DataFrame, DataFrame]:
@@ -62,13 +73,12 @@ def templates(docs: DataFrame, rules: TemplateRules = TemplateRules()) -> tuple[
 
     ``(doc_id, line_no, template)`` and ``(template, n_docs)``; a template is its text.
     """
-    every = lines(docs, rules)
-    key = F.xxhash64("leaf").alias("leaf_key")
-    shared = every.select(key).groupBy("leaf_key").agg(F.count("*").alias("n")).where(F.col("n") >= rules.min_docs).select("leaf_key")
-    keyed = every.select("doc_id", "line_no", "tokens", "leaf", key)
-    hot = written(
-        keyed.join(shared, "leaf_key", "left_semi").select("doc_id", "line_no", "leaf", F.array_join("tokens", " ").alias("line")), "template-lines"
-    )
+    keyed = lines(docs, rules).withColumn("leaf_key", F.xxhash64("leaf"))
+    shared = keyed.select("leaf_key").groupBy("leaf_key").agg(F.count("*").alias("n")).where(F.col("n") >= rules.min_docs).select("leaf_key")
+    shared = written(shared, "template-leaves")
+    few = shared.count() <= BROADCAST_LEAVES
+    some = keyed.join(F.broadcast(shared) if few else shared, "leaf_key", "left_semi")
+    hot = written(some.select("doc_id", "line_no", "leaf", _masked(F.col("line")).alias("line")), "template-lines")
     different = hot.groupBy("leaf", "line").agg(F.count("*").alias("n")).withColumn("tokens", F.split("line", " "))
     sizes = different.groupBy("leaf").agg(F.count("*").alias("n_lines"))
     placed = different.select("leaf", F.posexplode("tokens").alias("pos", "token"))
