@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import NOT_TERM, Texts, grams, owners, slices
+from skein.llm.workers import release
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -291,6 +292,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         shared = spark.sparkContext.broadcast(Index(shard, threshold))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            release()
             for batch in batches:
                 for part in slices(batch):
                     found = shared.value.search(part.column(1))
@@ -317,6 +319,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
         shared = spark.sparkContext.broadcast(Index(shard, threshold))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            release()
             for batch in batches:
                 for part in slices(batch):
                     keep = np.ones(part.num_rows, bool)

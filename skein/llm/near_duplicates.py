@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from skein.llm.scratch import written
 from skein.llm.textarrays import SPACE, Texts, grams, mix, owners, slices
+from skein.llm.workers import release
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -152,6 +153,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, k1, k2, n, bands``: a digest of the words, the number of shingles, the band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for part in slices(batch):
                 texts = Texts(part.column(1))
@@ -195,9 +197,10 @@ def verified(pairs: DataFrame, pool: DataFrame, threshold: float = THRESHOLD) ->
     """``a, b`` of those pairs whose texts in ``pool`` (doc_id, text) reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            for part in slices(batch, "text_a", 2 << 20):
-                for piece in slices(part, "text_b", 2 << 20):
+            for part in slices(batch, "text_a"):
+                for piece in slices(part, "text_b"):
                     ok = overlap(Texts(piece.column(2)), Texts(piece.column(3))) >= threshold - 1e-12
                     yield piece.select(["a", "b"]).filter(pa.array(ok))
 

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import slices
+from skein.llm.workers import release
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
@@ -373,6 +374,7 @@ def found(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(trained())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         memo: dict = {}
         for batch in batches:
             for part in slices(batch):
@@ -402,6 +404,7 @@ def redacted(docs: DataFrame) -> DataFrame:
         return "".join(out) + text[at:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             texts = pa.array([clean(t) for t in batch.column(place).to_pylist()], batch.schema.field(place).type)
             yield batch.set_column(place, batch.schema.field(place), texts)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.llm.textarrays import SPACE, Texts, grams, mix, owners, per_text, slices
+from skein.llm.workers import release
 
 #: Phrases of page furniture, matched in lower case.
 BOILERPLATE = (
@@ -169,6 +170,7 @@ def score(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """One row of measures and verdicts for every row of ``docs`` (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for part in slices(batch):
                 got = _judge(Texts(part.column(1)), rules)
@@ -181,6 +183,7 @@ def kept_documents(docs: DataFrame, rules: QualityRules = QualityRules(), text:
     """The rows of ``docs`` that the rules keep, unchanged, all columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for part in slices(batch, text):
                 yield part.filter(pa.array(_judge(Texts(part.column(part.schema.get_field_index(text))), rules)["kept"]))
@@ -192,6 +195,7 @@ def clean(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "te
     """The kept rows with their failing lines removed from the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for part in slices(batch, text):
                 i = part.schema.get_field_index(text)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import SPACE, Texts, mix, owners, slices
+from skein.llm.workers import release
 
 MIN_WORDS = 25
 _U = np.uint64
@@ -37,6 +38,7 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for part in slices(batch):
                 original = Texts(part.column(1))

@@ -19,7 +19,6 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import Texts, slices
+from skein.llm.workers import hold
 
 LIMIT = 4096
 MEMO_PIECES = 800_000
@@ -158,9 +158,8 @@ class BytePairCounter:
         return count
 
 
-@lru_cache(maxsize=4)
 def counter(model_path: str) -> BytePairCounter:
-    return BytePairCounter(model_path)
+    return hold(("counter", model_path), lambda: BytePairCounter(model_path))
 
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"

@@ -27,7 +27,6 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +35,7 @@ from pyspark.sql import functions as F
 
 from skein.llm.scratch import new_path, written
 from skein.llm.textarrays import slices
+from skein.llm.workers import hold
 
 MAGIC = b"SKTOKEN1"
 SHARD_TOKENS = 4_000_000
@@ -226,9 +226,8 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return hold(("encoder", path), lambda: Encoder(path))
 
 
 # -- the steps ----------------------------------------------------------------
