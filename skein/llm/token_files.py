@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 
 from skein.llm.scratch import new_path, written
 from skein.llm.textarrays import slices
-from skein.llm.workers import hold
+from skein.llm.workers import hold, trim
 
 MAGIC = b"SKTOKEN1"
-SHARD_TOKENS = 4_000_000
-#: Pieces of text whose ids a worker keeps: about 230 bytes each.
-MEMO_PIECES = 1_000_000
+SHARD_TOKENS = 2_000_000
+#: Pieces of text whose ids a worker keeps: about 130 bytes each.
+MEMO_PIECES = 900_000
 
 
 # -- the number coding ------------------------------------------------------
@@ -254,7 +254,9 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens: int =
 
         def shard():
             ids = b"".join(blobs)
-            total = np.bincount(np.frombuffer(ids, "<u2"))
+            values, total = np.frombuffer(ids, "<u2"), np.zeros(1 << 16, np.int64)
+            for k in range(0, len(values), BLOCK):
+                total += np.bincount(values[k : k + BLOCK], minlength=1 << 16)
             seen = np.flatnonzero(total)
             row = [number, seq, np.array(doc, "<i8").tobytes(), bytes(nulls), np.array(counts, "<i8").tobytes(), size, ids, seen, total[seen]]
             kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
@@ -272,6 +274,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens: int =
                         doc, nulls, counts, blobs, size, seq = [], [], [], [], 0, seq + 1
         if doc:
             yield shard()
+        trim()
 
     return written(ordered.mapInArrow(to_shards, _SHARDS), "token-shards", "snappy")
 

@@ -6,6 +6,8 @@ take memory from theirs, so holding one drops any other.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable
 from typing import Any
 
@@ -23,3 +25,9 @@ def hold(key: Any, make: Callable[[], Any]) -> Any:
 def release() -> None:
     """Called by operators that keep nothing."""
     _held.clear()
+
+
+def trim() -> None:
+    """Give freed memory back to the system, where the C library can (glibc keeps it otherwise)."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
