@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import NOT_TERM, Texts, grams, owners, slices
-from skein.llm.workers import release
+from skein.llm.workers import tidy
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -291,9 +291,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     for shard in shards(benchmark):
         shared = spark.sparkContext.broadcast(Index(shard, threshold))
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            release()
-            for batch in batches:
+                for batch in batches:
                 for part in slices(batch):
                     found = shared.value.search(part.column(1))
                     if found:
@@ -318,9 +318,9 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
     for shard in shards(benchmark):
         shared = spark.sparkContext.broadcast(Index(shard, threshold))
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            release()
-            for batch in batches:
+                for batch in batches:
                 for part in slices(batch):
                     keep = np.ones(part.num_rows, bool)
                     keep[[f[0] for f in shared.value.search(part.column(place))]] = False

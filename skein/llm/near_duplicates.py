@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from skein.llm.scratch import written
 from skein.llm.textarrays import SPACE, Texts, grams, mix, owners, slices
-from skein.llm.workers import release
+from skein.llm.workers import tidy, trim
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -152,8 +152,8 @@ _SIGNED = "doc_id long, k1 long, k2 long, n long, bands array<long>"
 def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, k1, k2, n, bands``: a digest of the words, the number of shingles, the band keys."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             for part in slices(batch):
                 texts = Texts(part.column(1))
@@ -196,8 +196,8 @@ def overlap(a: Texts, b: Texts) -> np.ndarray:
 def verified(pairs: DataFrame, pool: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``a, b`` of those pairs whose texts in ``pool`` (doc_id, text) reach the threshold."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             for part in slices(batch, "text_a"):
                 for piece in slices(part, "text_b"):
@@ -306,7 +306,9 @@ def blockwise(members: DataFrame, pool: DataFrame, threshold: float = THRESHOLD)
 
     def run(table: pa.Table) -> pa.Table:
         docs, roots = table.column("doc").to_numpy(), table.column("root").to_numpy()
-        return pa.table(dict(zip(("a", "b"), block_links(docs, roots, table.column("text"), threshold))))
+        found = pa.table(dict(zip(("a", "b"), block_links(docs, roots, table.column("text"), threshold))))
+        trim()
+        return found
 
     return texts.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import slices
-from skein.llm.workers import release
+from skein.llm.workers import tidy
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
@@ -373,8 +373,8 @@ def found(docs: DataFrame) -> DataFrame:
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     shared = docs.sparkSession.sparkContext.broadcast(trained())
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         memo: dict = {}
         for batch in batches:
             for part in slices(batch):
@@ -403,8 +403,8 @@ def redacted(docs: DataFrame) -> DataFrame:
             at = max(at, e)
         return "".join(out) + text[at:]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             texts = pa.array([clean(t) for t in batch.column(place).to_pylist()], batch.schema.field(place).type)
             yield batch.set_column(place, batch.schema.field(place), texts)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.llm.textarrays import SPACE, Texts, grams, mix, owners, per_text, slices
-from skein.llm.workers import release
+from skein.llm.workers import tidy
 
 #: Phrases of page furniture, matched in lower case.
 BOILERPLATE = (
@@ -169,8 +169,8 @@ _NAMES = [x.split()[0] for x in SCORE_SCHEMA.split(", ")]
 def score(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """One row of measures and verdicts for every row of ``docs`` (doc_id, text)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             for part in slices(batch):
                 got = _judge(Texts(part.column(1)), rules)
@@ -182,8 +182,8 @@ def score(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
 def kept_documents(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, unchanged, all columns."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             for part in slices(batch, text):
                 yield part.filter(pa.array(_judge(Texts(part.column(part.schema.get_field_index(text))), rules)["kept"]))
@@ -194,8 +194,8 @@ def kept_documents(docs: DataFrame, rules: QualityRules = QualityRules(), text:
 def clean(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text") -> DataFrame:
     """The kept rows with their failing lines removed from the text."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             for part in slices(batch, text):
                 i = part.schema.get_field_index(text)

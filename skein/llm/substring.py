@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import SPACE, Texts, mix, owners, slices
-from skein.llm.workers import release
+from skein.llm.workers import tidy
 
 MIN_WORDS = 25
 _U = np.uint64
@@ -37,8 +37,8 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     schema = "doc_id long, h1 long, h2 long, start long, end long, n_words long"
     names = [x.split()[0] for x in schema.split(", ")]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             for part in slices(batch):
                 original = Texts(part.column(1))

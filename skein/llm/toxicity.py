@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import NOT_TERM, Texts, mix, owners, slices
-from skein.llm.workers import release
+from skein.llm.workers import tidy
 
 THRESHOLD = 0.3
 #: Lengths in bytes of the beginnings of words that count as patterns.
@@ -224,8 +224,8 @@ def scored(docs: DataFrame, classifier: Classifier, threshold: float = THRESHOLD
     """``doc_id, score, predicted`` for every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             for part in slices(batch):
                 s = shared.value.score(part.column(1))

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
+
 _held: dict[Any, Any] = {}
 
 
@@ -28,6 +30,20 @@ def release() -> None:
 
 
 def trim() -> None:
-    """Give freed memory back to the system, where the C library can (glibc keeps it otherwise)."""
+    """Give freed memory back to the system: Arrow's pool and glibc keep it otherwise."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """For operators that keep nothing: drops what another left, and trims after the task."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        release()
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return tidied
