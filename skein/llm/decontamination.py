@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import NOT_TERM, Texts, grams, owners, slices
-from skein.llm.workers import tidy
+from skein.llm.workers import map_batches, tidy
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -304,7 +304,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                             names=[x.split()[0] for x in _SCHEMA.split(", ")],
                         )
 
-        parts.append(rows.mapInArrow(run, _SCHEMA))
+        parts.append(rows.transform(map_batches, run, _SCHEMA))
     found = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], _SCHEMA)
     # few rows: one for each document and item
     best = F.max(F.struct("score", "question_overlap", "answer_overlap", "first_word")).alias("b")
@@ -326,5 +326,5 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
                     keep[[f[0] for f in shared.value.search(part.column(place))]] = False
                     yield part.filter(pa.array(keep))
 
-        kept = kept.mapInArrow(run, docs.schema)
+        kept = kept.transform(map_batches, run, docs.schema)
     return kept

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from skein.llm.scratch import written
 from skein.llm.textarrays import SPACE, Texts, grams, mix, owners, slices
-from skein.llm.workers import tidy, trim
+from skein.llm.workers import map_batches, tidy, trim
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -174,7 +174,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(texts.n + 1, dtype=np.int32) * BANDS), pa.array(band.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column(0), *digest, pa.array(n), bands], names=["doc_id", "k1", "k2", "n", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _SIGNED)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(map_batches, run, _SIGNED)
 
 
 # -- verification ----------------------------------------------------------------
@@ -207,7 +207,7 @@ def verified(pairs: DataFrame, pool: DataFrame, threshold: float = THRESHOLD) ->
     one = pool.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     two = pool.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     both = pairs.join(one, "b").join(two, "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.transform(map_batches, run, "a long, b long").distinct()
 
 
 # -- connected components ----------------------------------------------------------

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import slices
-from skein.llm.workers import tidy
+from skein.llm.workers import map_batches, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
@@ -385,7 +385,7 @@ def found(docs: DataFrame) -> DataFrame:
                     rows.append((d, *(kinds.count(k) for k in range(4)), hashlib.sha256(spell(base).encode()).hexdigest(), spell(base + added), len(added)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if n in ("base_sha256", "spans") else pa.int64()) for c, n in zip(zip(*rows), names)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(map_batches, run, SCHEMA)
 
 
 def redacted(docs: DataFrame) -> DataFrame:
@@ -409,4 +409,4 @@ def redacted(docs: DataFrame) -> DataFrame:
             texts = pa.array([clean(t) for t in batch.column(place).to_pylist()], batch.schema.field(place).type)
             yield batch.set_column(place, batch.schema.field(place), texts)
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(map_batches, run, schema)

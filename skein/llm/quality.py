@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.llm.textarrays import SPACE, Texts, grams, mix, owners, per_text, slices
-from skein.llm.workers import tidy
+from skein.llm.workers import map_batches, tidy
 
 #: Phrases of page furniture, matched in lower case.
 BOILERPLATE = (
@@ -176,7 +176,7 @@ def score(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
                 got = _judge(Texts(part.column(1)), rules)
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(got[k]) for k in _NAMES[1:])], names=_NAMES)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCORE_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(map_batches, run, SCORE_SCHEMA)
 
 
 def kept_documents(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text") -> DataFrame:
@@ -188,7 +188,7 @@ def kept_documents(docs: DataFrame, rules: QualityRules = QualityRules(), text:
             for part in slices(batch, text):
                 yield part.filter(pa.array(_judge(Texts(part.column(part.schema.get_field_index(text))), rules)["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(map_batches, run, docs.schema)
 
 
 def clean(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text") -> DataFrame:
@@ -207,4 +207,4 @@ def clean(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "te
                 yield part.set_column(i, part.schema.field(i), pa.array(new, part.schema.field(i).type)).filter(pa.array(got["kept"]))
 
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType, True) for f in docs.schema])
-    return docs.mapInArrow(run, schema)
+    return docs.transform(map_batches, run, schema)

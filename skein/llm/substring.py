@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import SPACE, Texts, mix, owners, slices
-from skein.llm.workers import tidy
+from skein.llm.workers import map_batches, tidy
 
 MIN_WORDS = 25
 _U = np.uint64
@@ -73,7 +73,7 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     names=names,
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(map_batches, run, schema)
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import Texts, slices
-from skein.llm.workers import hold
+from skein.llm.workers import hold, map_batches
 
 LIMIT = 4096
 MEMO_PIECES = 800_000
@@ -179,4 +179,4 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = LIMIT) -> DataFr
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(map_batches, run, SCHEMA)

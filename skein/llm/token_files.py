@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from skein.llm.scratch import new_path, written
 from skein.llm.textarrays import slices
-from skein.llm.workers import hold, trim
+from skein.llm.workers import hold, map_batches, trim
 
 MAGIC = b"SKTOKEN1"
 SHARD_TOKENS = 2_000_000
@@ -276,7 +276,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens: int =
             yield shard()
         trim()
 
-    return written(ordered.mapInArrow(to_shards, _SHARDS), "token-shards", "snappy")
+    return written(ordered.transform(map_batches, to_shards, _SHARDS), "token-shards", "snappy")
 
 
 def ranks(shards: DataFrame) -> list[int]:
@@ -306,7 +306,7 @@ def write(shards: DataFrame, table: list[int], path: str) -> None:
 
     # Spark's text writer puts down the bytes of a column as they are, one row a file and a line
     # break, on any file system and with its commit protocol: a task that is run twice leaves one file
-    files = shards.select("part", "seq", "doc_ids", "nulls", "counts", "ids").mapInArrow(code, "shard string, value binary")
+    files = shards.select("part", "seq", "doc_ids", "nulls", "counts", "ids").transform(map_batches, code, "shard string, value binary")
     files.select("shard", F.col("value").cast("string")).write.partitionBy("shard").option("compression", "none").text(f"{path}/shards")
 
 
@@ -353,7 +353,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/shards")
     blobs = files.select(F.regexp_extract("path", r"shard=([0-9-]+)/part", 1).alias("shard"), "content").where("shard <> ''")
-    docs = blobs.mapInArrow(run, _READ)
+    docs = blobs.transform(map_batches, run, _READ)
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,7 +361,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["shard", "n"])
 
     # the number of ids stands in a file's first bytes
-    sizes = blobs.select("shard", F.substring("content", 1, 40)).mapInArrow(size, "shard string, n long")
+    sizes = blobs.select("shard", F.substring("content", 1, 40)).transform(map_batches, size, "shard string, n long")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     begins = sizes.select(F.col("shard").alias("__shard"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
     return docs.join(begins, F.col("shard") == F.col("__shard")).select(

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.textarrays import NOT_TERM, Texts, mix, owners, slices
-from skein.llm.workers import tidy
+from skein.llm.workers import map_batches, tidy
 
 THRESHOLD = 0.3
 #: Lengths in bytes of the beginnings of words that count as patterns.
@@ -231,4 +231,4 @@ def scored(docs: DataFrame, classifier: Classifier, threshold: float = THRESHOLD
                 s = shared.value.score(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(map_batches, run, "doc_id long, score double, predicted int")

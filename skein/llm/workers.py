@@ -1,4 +1,4 @@
-"""What a Python worker keeps between tasks: the cache of one operator at a time.
+"""What a Python worker holds: batches of a bounded size, and between tasks the cache of one operator.
 
 Workers are reused by later stages. A cache that an earlier operator left would
 take memory from theirs, so holding one drops any other.
@@ -12,6 +12,11 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
+
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of an Arrow batch sent to a worker (Spark's own default is 64 MB, kept twice: off the heap and in the worker).
+BATCH_BYTES = 4 << 20
 
 _held: dict[Any, Any] = {}
 
@@ -47,3 +52,15 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
             trim()
 
     return tidied
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: Any) -> DataFrame:
+    """``df.mapInArrow`` over batches of about ``BATCH_BYTES``, or one row if that is longer.
+
+    Sets the session's bound, which holds for its later queries too; one that the
+    user has set stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_KEY, None) is None:
+        conf.set(_BATCH_KEY, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
