@@ -35,8 +35,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+#: Fewer than a run of the operator alone keeps: other stages fill the executors before it.
+MEMO_PIECES = 200_000
+
+
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_files.read(spark, token_files.token_files(docs, tokenizer_path("byte_bpe_50k.json")))
+    return token_files.read(spark, token_files.token_files(docs, tokenizer_path("byte_bpe_50k.json"), memo_pieces=MEMO_PIECES))
 
 
 STAGES = [

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from skein.llm.scratch import new_path, written
 from skein.llm.textarrays import slices
-from skein.llm.workers import hold, map_batches, trim
+from skein.llm.workers import hold, map_batches, tidy, trim
 
 MAGIC = b"SKTOKEN1"
 SHARD_TOKENS = 2_000_000
@@ -117,7 +117,7 @@ class Encoder:
     to the library as they are.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_pieces: int = MEMO_PIECES):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -126,6 +126,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit 16 bits here")
+        self.memo_pieces = memo_pieces
         self.special = tuple(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
         #: Ids by what stands between two spaces, the space before it included. A piece that begins
         #: with a line break has no space before it. 0: left to the library.
@@ -190,9 +191,9 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 16-bit integers."""
-        if len(self.memo) > MEMO_PIECES:
+        if len(self.memo) > self.memo_pieces:
             # what was learned first is the more frequent half
-            self.memo = dict(islice(self.memo.items(), MEMO_PIECES // 2))
+            self.memo = dict(islice(self.memo.items(), self.memo_pieces // 2))
         get, cut, new = self.memo.get, [], set()
         for t in texts:
             if not self._plain(t):
@@ -229,8 +230,8 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    return hold(("encoder", path), lambda: Encoder(path))
+def encoder(path: str, memo_pieces: int = MEMO_PIECES) -> Encoder:
+    return hold(("encoder", path, memo_pieces), lambda: Encoder(path, memo_pieces))
 
 
 # -- the steps ----------------------------------------------------------------
@@ -238,7 +239,7 @@ def encoder(path: str) -> Encoder:
 _SHARDS = "part int, seq int, doc_ids binary, nulls binary, counts binary, n_tokens long, ids binary, seen array<int>, seen_n array<long>"
 
 
-def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens: int = SHARD_TOKENS, memo_pieces: int = MEMO_PIECES) -> DataFrame:
     """Shards of raw ids in ascending doc_id order; ``part, seq`` order the shards."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -249,7 +250,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens: int =
     ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id").withColumn("part", F.spark_partition_id())
 
     def to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = encoder(tokenizer)
+        model = encoder(tokenizer, memo_pieces)
         doc, nulls, counts, blobs, size, seq, number = [], [], [], [], 0, 0, 0
 
         def shard():
@@ -295,6 +296,7 @@ def write(shards: DataFrame, table: list[int], path: str) -> None:
     to_rank[np.array(table, np.int64)] = np.arange(len(table), dtype=np.uint32)
     shared = spark.sparkContext.broadcast(to_rank)  # at most 65,536 entries
 
+    @tidy
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
@@ -336,6 +338,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         table[r["rank"]] = r["id"]
     shared = spark.sparkContext.broadcast(table)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -355,6 +358,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     blobs = files.select(F.regexp_extract("path", r"shard=([0-9-]+)/part", 1).alias("shard"), "content").where("shard <> ''")
     docs = blobs.transform(map_batches, run, _READ)
 
+    @tidy
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = [int(np.frombuffer(h.as_py(), "<u8", 1, 16)[0]) for h in batch.column(1)]
@@ -369,9 +373,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def token_files(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int = 0) -> str:
-    """Encode ``docs`` and write the files; returns where they are."""
+def token_files(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int = 0, memo_pieces: int = MEMO_PIECES) -> str:
+    """Encode ``docs`` and write the files; returns where they are.
+
+    ``memo_pieces`` trades a worker's memory for encoding time and changes no result.
+    """
     path = path or new_path(docs.sparkSession, "token-files")
-    shards = encode(docs, tokenizer, end_id)
+    shards = encode(docs, tokenizer, end_id, memo_pieces=memo_pieces)
     write(shards, ranks(shards), path)
     return path

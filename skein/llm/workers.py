@@ -31,7 +31,9 @@ def hold(key: Any, make: Callable[[], Any]) -> Any:
 
 def release() -> None:
     """Called by operators that keep nothing."""
-    _held.clear()
+    if _held:
+        _held.clear()
+        trim()
 
 
 def trim() -> None:
