@@ -1,18 +1,26 @@
-"""Substring dedup: repeated lines found by their digests.
-
-Every line is a unit. It is normalised (lower case, white space collapsed) and
-digested to 128 bits; units of equal digest are grouped over the whole table,
-the occurrence of lowest rank (doc_id, then place in the text) stays, and all
-others are removed, named by their character offsets in the original text.
-
-A unit must have ``min_words`` words: shorter lines recur by chance. Rows that
-shuffle are digests and places, never texts. A digest that holds a third of all
-units is summed before the shuffle, and the join that finds its occurrences has
-one row a digest on its other side, so Spark may split the hot side.
-
-Defined cases: a null or empty text has no units; rows that repeat an id and
-text are one occurrence (equal rank) and stay or go together; a null id ranks
-before all others.
+"""Substring dedup: repeated passages of words, wherever they begin and end.
+
+A unit is a window of ``min_words`` consecutive words of a text, lower case, with
+any white space between them, so a passage may begin inside a line and run over
+line ends. Of equal windows in the whole table the occurrence of lowest rank
+(doc_id, then place in the text) stays; all words of the others are removed, as
+spans of character offsets in the original text. So every passage of
+``min_words`` words or more goes that stands in an earlier place. Where it runs over
+a line end, the one or two words (under ``EDGE``) that it has of a line it begins or
+ends in stay, unless they are the whole line: so few are equal by chance.
+
+Windows are not all shuffled. Each has an anchor: of the runs of ``ANCHOR`` words
+in it, the one of least hash. Equal windows have equal anchors, so windows whose
+anchor occurs once are unique; the others (of texts that hold such an anchor) are
+grouped by a 96-bit digest. Anchors are one word in about eight. Rows that shuffle
+are digests and places, and the texts with a repeated anchor. A digest that holds
+a third of all units is summed before the shuffle, and the join that finds its
+occurrences has one row a digest on its other side, so Spark may split the hot side.
+
+Defined cases: a text of fewer than ``min_words`` words has no units; windows of
+one line that overlap the occurrence before are the same occurrence (a line of one
+word over and over is no repeat of itself); rows that repeat an id and text are one
+occurrence (equal rank) and stay or go together; a null id ranks before all others.
 """
 
 from __future__ import annotations
@@ -22,80 +30,183 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm.textarrays import SPACE, Texts, mix, owners, slices
+from skein.llm.scratch import written
+from skein.llm.textarrays import SPACE, Texts, _power, mix, owners, slices
 from skein.llm.workers import map_batches, tidy
 
 MIN_WORDS = 25
+#: Words of an anchor; a shorter window is its own anchor.
+ANCHOR = 10
+#: Ids of texts with a repeated anchor that may be broadcast (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+#: Fewer words of a line than this do not go with a passage on other lines.
+EDGE = 3
 _U = np.uint64
 
 
+def _runs(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n words from each on, over the ends of texts too."""
+    up, down = _power(len(words) + 1)
+    c = np.concatenate([np.zeros(1, _U), np.cumsum(words * up[: len(words)], dtype=_U)])
+    return mix((c[n:] - c[:-n]) * down[: len(words) - n + 1])
+
+
+def _least(values: np.ndarray, n: int) -> np.ndarray:
+    """Where the least of the n values from each on stands, the first of equal ones."""
+    at, span = np.arange(len(values)), 1
+    while span < n:
+        step = min(span, n - span)
+        a, b = at[:-step], at[step:]
+        at, span = np.where(values[b] < values[a], b, a), span + step
+    return at
+
+
+class _Windows:
+    """The windows of a batch's texts: ``first`` words, ``anchor`` places, ``owner`` texts."""
+
+    def __init__(self, text: pa.Array, min_words: int):
+        self.original = Texts(text)
+        self.starts, self.ends, self.bounds = self.original.spans(SPACE)
+        lowered = Texts(pc.utf8_lower(text.cast(pa.large_string())))
+        s, e, _ = lowered.spans(SPACE)
+        self.words = lowered.span_hash(s, e)
+        self.first = self.anchor = self.owner = np.zeros(0, np.int64)
+        if len(self.words) < min_words:
+            return
+        k = min(ANCHOR, min_words)
+        self.grams = _runs(self.words, k)
+        owner = owners(self.bounds)
+        self.first = np.flatnonzero(owner[: len(owner) - min_words + 1] == owner[min_words - 1 :])
+        self.anchor = _least(self.grams, min_words - k + 1)[self.first]
+        self.owner = owner[self.first]
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Different anchors and their texts."""
+        new = np.flatnonzero(np.diff(self.anchor, prepend=-1))
+        return self.anchor[new], self.owner[new]
+
+    def edges(self, first: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """The words that stay at the begin and at the end of each window; see ``EDGE``."""
+        if min_words <= 2 * EDGE:
+            return np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        n, breaks = len(self.starts), np.flatnonzero(self.original.data == 10)
+        begins = np.zeros(n + 1, bool)  # words that begin a line
+        begins[np.searchsorted(self.starts, breaks)] = True
+        begins[self.bounds] = True
+        at = np.flatnonzero(begins)
+        stop = first + min_words
+        after = at[np.searchsorted(at, first)] - first  # words up to the next line's begin; 0 for a line's first
+        before = stop - at[np.searchsorted(at, stop, "right") - 1]
+        return np.where(after < EDGE, after, 0), np.where(before < EDGE, before, 0)
+
+    def heads(self, keys: np.ndarray, first: np.ndarray, min_words: int) -> np.ndarray:
+        """The first word of the occurrence that each window belongs to."""
+        line = np.searchsorted(np.flatnonzero(self.original.data == 10), self.starts[first])
+        order = np.lexsort((first, keys))
+        k, f, ln = keys[order], first[order], line[order]
+        owner = np.searchsorted(self.bounds, f, "right")
+        new = np.ones(len(f), bool)
+        new[1:] = (k[1:] != k[:-1]) | (f[1:] - f[:-1] >= min_words) | (ln[1:] != ln[:-1]) | (owner[1:] != owner[:-1])
+        heads = np.empty_like(first)
+        heads[order] = f[np.maximum.accumulate(np.where(new, np.arange(len(f)), 0))]
+        return heads
+
+
+def anchors(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``h, doc_id, pos``: the anchors of all windows; ``pos`` counts words of the text."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                w = _Windows(part.column(1), min_words)
+                at, owner = w.anchors()
+                if len(at):
+                    columns = [pa.array(w.grams[at].view(np.int64)), part.column(0).take(pa.array(owner)), pa.array((at - w.bounds[owner]).astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["h", "doc_id", "pos"])
+
+    return _texts(docs).transform(map_batches, run, "h long, doc_id long, pos int")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, h1, h2, start, end, n_words`` of every unit; offsets count characters, end exclusive."""
-    schema = "doc_id long, h1 long, h2 long, start long, end long, n_words long"
+    """``h1, h2, doc_id, pos, head, edges, start, end`` of every window whose anchor occurs more than once.
+
+    ``pos``: its first word; ``head``: that of its occurrence; ``edges``: the words that stay
+    at its begin, times ``EDGE``, plus those at its end. Offsets are without these and count characters, end exclusive.
+    """
+    a = anchors(docs, min_words)
+    shared = a.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    marks = written(a.join(shared, "h").groupBy("doc_id").agg(F.collect_set("pos").alias("marks")), "substring-anchors")
+    m = marks.withColumnRenamed("doc_id", "id")
+    some = _texts(docs)
+    if m.count() <= BROADCAST_IDS:
+        some = some.join(F.broadcast(m.select("id")), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    some = some.join(m, F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "text", "marks")
+    schema = "h1 long, h2 int, doc_id long, pos int, head int, edges int, start int, end int"
     names = [x.split()[0] for x in schema.split(", ")]
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                original = Texts(part.column(1))
-                ls, le, bounds = original.lines()
-                lowered = Texts(pc.utf8_lower(part.column(1).cast(pa.large_string())))
-                starts, ends, _ = lowered.spans(SPACE)
-                lo_s, lo_e, _ = lowered.lines()
-                first = np.searchsorted(starts, lo_s)
-                words = np.searchsorted(starts, lo_e) - first
-                pick = np.flatnonzero(words >= min_words)
+                w = _Windows(part.column(1), min_words)
+                marked = np.zeros(len(w.words), bool)
+                lists = part.column(2)
+                sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+                places = lists.flatten().to_numpy(zero_copy_only=False) + np.repeat(w.bounds[:-1], sizes)
+                marked[places[places < len(marked)]] = True  # an id may stand for texts of other lengths
+                pick = np.flatnonzero(marked[w.anchor])
                 if not len(pick):
                     continue
-                h = lowered.span_hash(starts, ends)
-                # order matters: each word is mixed with its place in the line
-                place = np.arange(len(h)) - np.repeat(first, words)
-                one = mix(h + (place.astype(_U) + _U(1)) * _U(0x9E3779B97F4A7C15))
-                two = mix(h ^ ((place.astype(_U) + _U(1)) * _U(0xC2B2AE3D27D4EB4F)))
-                c1, c2 = (np.concatenate([np.zeros(1, _U), np.cumsum(x, dtype=_U)]) for x in (one, two))
-                a, b = first[pick], first[pick] + words[pick]
-                chars = np.concatenate([[0], np.cumsum(original.code_points())])
-                owner = owners(bounds)[pick]
-                begin = chars[original.offsets[owner]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array(owner)),
-                        pa.array(mix(c1[b] - c1[a]).view(np.int64)),
-                        pa.array(mix(c2[b] - c2[a]).view(np.int64)),
-                        pa.array(chars[ls[pick]] - begin),
-                        pa.array(chars[le[pick]] - begin),
-                        pa.array(words[pick]),
-                    ],
-                    names=names,
-                )
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(map_batches, run, schema)
+                first, owner = w.first[pick], w.owner[pick]
+                one = _runs(w.words, min_words)[first]
+                two = _runs(mix(w.words ^ _U(0xC2B2AE3D27D4EB4F)), min_words)[first]
+                chars = np.concatenate([[0], np.cumsum(w.original.code_points())])
+                begin = chars[w.original.offsets[owner]]
+                before, after = w.edges(first, min_words)
+                numbers = [
+                    first - w.bounds[owner], w.heads(one, first, min_words) - w.bounds[owner], before * EDGE + after,
+                    chars[w.starts[first + before]] - begin, chars[w.ends[first + min_words - after - 1]] - begin,
+                ]
+                columns = [pa.array(one.view(np.int64)), pa.array((two >> _U(32)).astype(np.uint32).view(np.int32)), part.column(0).take(pa.array(owner))]
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x.astype(np.int32)) for x in numbers)], names=names)
+
+    return some.transform(map_batches, run, schema)
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The units to remove: all but the occurrence of lowest rank of each digest."""
+    """The windows to remove: all but the occurrence of lowest rank of each digest."""
     u = units(docs, min_words)
-    rank = F.struct("doc_id", "start")
-    groups = u.groupBy("h1", "h2").agg(F.min(rank).alias("keep"), F.count("*").alias("n")).where("n > 1")
+    places = F.min(F.struct("doc_id", "head")).alias("keep"), F.max(F.struct("doc_id", "head")).alias("last")
+    groups = u.groupBy("h1", "h2").agg(*places).where(~F.col("keep").eqNullSafe(F.col("last"))).select("h1", "h2", "keep")
     a, g = u.alias("a"), groups.alias("g")
     join = a.join(g, (F.col("a.h1") == F.col("g.h1")) & (F.col("a.h2") == F.col("g.h2")))
-    return join.where(~F.struct("a.doc_id", "a.start").eqNullSafe(F.col("g.keep"))).select(
-        "a.doc_id", "a.start", "a.end", "a.n_words", F.col("g.keep.doc_id").alias("first_doc_id"), F.col("g.keep.start").alias("first_start")
-    )
+    return join.where(~F.struct("a.doc_id", "a.head").eqNullSafe(F.col("g.keep"))).select("a.doc_id", "a.pos", "a.edges", "a.start", "a.end")
 
 
 def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row a document that loses units: ``doc_id, n_removed, removed_words, removed_chars, spans``.
+    """One row a document that loses words: ``doc_id, n_removed, removed_words, removed_chars, spans``.
 
-    ``spans``: start and end of each removed unit, in order. A document's own lines bound the list.
+    ``spans``: start and end of each removed passage (windows that overlap or touch are one),
+    in order. A document's own words bound the list.
     """
+    order = Window.partitionBy("doc_id").orderBy("pos")
+    new = F.coalesce((F.col("pos") - F.lag("pos").over(order) > min_words).cast("int"), F.lit(1))
+    begin = F.min(F.col("pos") + F.floor(F.col("edges") / EDGE))
+    stop = F.max(F.col("pos") - F.col("edges") % EDGE) + min_words
     return (
-        repeated_units(docs, min_words)
-        .select("doc_id", "start", "end", "n_words").distinct()
+        repeated_units(docs, min_words).distinct()
+        .withColumn("new", new)
+        .withColumn("passage", F.sum("new").over(order))
+        .groupBy("doc_id", "passage")
+        .agg(F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"), (stop - begin).alias("n_words"))
         .groupBy("doc_id")
         .agg(
             F.count("*").alias("n_removed"),
@@ -119,7 +230,10 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def oracle_sql(min_words: int = MIN_WORDS) -> str:
-    """The rows of the query from DuckDB, which compares the normalised lines themselves."""
+    """Whole lines of ``min_words`` or more from DuckDB, which compares the normalised lines themselves.
+
+    A part of what the query removes: it sees no passage inside a line or over shorter ones.
+    """
     return f"""
 WITH cut AS (
   SELECT doc_id, unnest(generate_series(1, len(string_split(text, chr(10))))) AS k, unnest(string_split(text, chr(10))) AS line
