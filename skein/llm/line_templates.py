@@ -4,8 +4,10 @@ A line goes down a tree of fixed depth: the number of its tokens, then its
 leading tokens (a token with a digit counts as a variable field). Among the
 different lines of a leaf, a token that enough of them share at its place is a
 constant of the template, any other is a variable field. Lines of which too
-little is constant keep their own tokens. Templates that recur in ``min_docs``
-documents or more are dropped from all of them.
+little is constant keep their own tokens. A line of fewer than ``min_tokens``
+tokens is a leaf of its own: only its tokens with a digit are fields, and a line
+that has no others stays as it is. Templates that recur in ``min_docs`` documents
+or more are dropped from all of them.
 
 Plan: leaves are counted first, with partial sums, and only lines of leaves with
 ``min_docs`` lines or more go on (most prose stands alone in its leaf). They are
@@ -14,9 +16,8 @@ that holds a third of all rows is one row from there on, and documents are
 counted by (template, document) pairs, so a hot template is spread. Hot rows
 meet only in joins with one row a key on the other side, which Spark may split.
 
-Defined cases: a null or empty text has no lines; blank lines and lines of fewer
-than ``min_tokens`` tokens are never dropped; rows of equal id count as one
-document in a template's count, and each row gets its own result.
+Defined cases: a null or empty text has no lines; blank lines are never dropped;
+rows of equal id count as one document in a template's count, and each row gets its own result.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 class TemplateRules:
     #: Leading tokens on the way down the tree.
     depth: int = 3
+    #: Fewest tokens of a line that is generalised; shorter ones are literal but for digits.
     min_tokens: int = 4
     #: A token is constant if so large a share of the leaf's different lines have it at its place.
     constant_share: float = 0.2
@@ -52,6 +54,17 @@ def _masked(text: Column) -> Column:
     return F.when(text.rlike("[0-9]"), F.regexp_replace(text, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(text)
 
 
+def _count(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1
+
+
+def _text(line: Column, rules: TemplateRules) -> Column:
+    """The line as it goes down the tree: masked, unless it is short and nothing would be left."""
+    masked = _masked(line)
+    nothing = F.replace(F.replace(masked, F.lit(FIELD), F.lit("")), F.lit(" "), F.lit("")) == ""
+    return F.when((_count(line) < rules.min_tokens) & nothing, line).otherwise(masked)
+
+
 def lines(docs: DataFrame, rules: TemplateRules = TemplateRules()) -> DataFrame:
     """``doc_id, line_no, line, leaf``: the lines that can have a template; numbers start at 1.
 
@@ -62,9 +75,8 @@ def lines(docs: DataFrame, rules: TemplateRules = TemplateRules()) -> DataFrame:
     odd = reduce(lambda a, b: a | b, (F.contains("line", F.lit(c)) for c in ("  ", "\t", "\x0b", "\x0c", "\r")))
     single = F.when(odd, F.regexp_replace("line", SPACES, " ")).otherwise(F.col("line"))
     cut = cut.select("doc_id", (F.col("pos") + 1).cast("long").alias("line_no"), F.btrim(single).alias("line")).where("line <> ''")
-    n = F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1
-    cut = cut.withColumn("n", n).where(F.col("n") >= rules.min_tokens)
-    lead = _masked(F.substring_index("line", " ", rules.depth))
+    cut = cut.withColumn("n", _count(F.col("line")))
+    lead = F.when(F.col("n") < rules.min_tokens, _text(F.col("line"), rules)).otherwise(_masked(F.substring_index("line", " ", rules.depth)))
     return cut.select("doc_id", "line_no", "line", F.concat_ws(" ", F.col("n").cast("string"), lead).alias("leaf"))
 
 
@@ -78,7 +90,7 @@ def templates(docs: DataFrame, rules: TemplateRules = TemplateRules()) -> tuple[
     shared = written(shared, "template-leaves")
     few = shared.count() <= BROADCAST_LEAVES
     some = keyed.join(F.broadcast(shared) if few else shared, "leaf_key", "left_semi")
-    hot = written(some.select("doc_id", "line_no", "leaf", _masked(F.col("line")).alias("line")), "template-lines")
+    hot = written(some.select("doc_id", "line_no", "leaf", _text(F.col("line"), rules).alias("line")), "template-lines")
     different = hot.groupBy("leaf", "line").agg(F.count("*").alias("n")).withColumn("tokens", F.split("line", " "))
     sizes = different.groupBy("leaf").agg(F.count("*").alias("n_lines"))
     placed = different.select("leaf", F.posexplode("tokens").alias("pos", "token"))
@@ -132,7 +144,10 @@ def without_templates(docs: DataFrame, rules: TemplateRules = TemplateRules()) -
 
 
 def oracle_sql(rules: TemplateRules = TemplateRules()) -> str:
-    """The same rows from DuckDB: templates are compared as texts there too."""
+    """The rows from DuckDB: templates are compared as texts there too.
+
+    It sees lines of ``min_tokens`` or more only; the query drops recurring shorter ones besides.
+    """
     return f"""
 WITH cut AS (
   SELECT doc_id, unnest(generate_series(1, len(string_split(text, chr(10))))) AS line_no,

@@ -375,6 +375,29 @@ def test_line_templates_match_sql(spark, frame, words, tmp_path):
     assert sorted((r["doc_id"], r["n_lines"], r["n_dropped"], r["dropped"]) for r in rows(line_templates.per_document(docs))) == want
 
 
+def test_short_lines_recur_too(spark, frame, words, tmp_path):
+    import duckdb
+
+    data = []
+    for k in range(40):
+        own = f"own{'abcdefghij'[k % 10] * (k // 10 + 1)}"
+        text = [words(12, 2 * k).replace("\n", " "), "All  rights reserved." if k < 10 else own, f"Page {k}", f"{1000 + k}", "", "Les." if k > 30 else own + "."]
+        data.append((k, "\n".join([*text, f"Printed on day {k} of the year"])))
+    docs = frame(data)
+    want = {k: [2, 3, 7] if k < 10 else [3, 7] for k in range(40)}
+
+    def dropped(df):
+        return {r["doc_id"]: [int(x) for x in r["dropped"].split(",") if x] for r in rows(line_templates.per_document(df))}
+
+    assert dropped(docs) == want  # 'Les.' is in 9 documents, and a number alone has no constant token
+    assert dropped(frame([*data, (99, "\n Les. \n1001")])) == {k: [3, 6, 7] if k > 30 else x for k, x in want.items()} | {99: [2]}
+    # of lines of 4 tokens or more the SQL drops the same
+    docs.write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    assert dict(con.execute(f"select doc_id, dropped from ({line_templates.oracle_sql()})").fetchall()) == dict.fromkeys(want, "7")
+
+
 # -- op9 -------------------------------------------------------------------------
 
 
