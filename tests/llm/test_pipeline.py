@@ -5,6 +5,12 @@ from collections import Counter
 import corpus_pipeline
 
 
+def test_failing_lines_do_not_go_on(spark, frame, words):
+    page = words(60, 10) + "\nPrivacy policy | Terms of use\n" + words(40, 12)
+    (row,) = corpus_pipeline.quality_rules(spark, frame([(1, page), (2, "too short")]), "").collect()
+    assert row.doc_id == 1 and "Privacy" not in row.text and row.text.startswith(words(60, 10)[:50])
+
+
 def test_stages(spark, frame, words, tmp_path):
     items = [(k, words(14, k) + "\n" + words(20, k + 900)) for k in range(10)]
     clean = [(k, words(70, k + 50), f"s{k % 3}") for k in range(100, 160)]
