@@ -20,10 +20,12 @@ block, and
 3. what scores at least the threshold is verified on the words themselves: the
    share of the question's, and of the answer's, n-grams that the passage has.
 
-The index is built in shards of ``SHARD_TERMS`` terms of items (weights
-within a shard), and each shard is broadcast and queried in turn, so what is sent
-to the executors has a fixed bound whatever the benchmark's size. Documents are
-never shuffled.
+The index is built in shards of ``SHARD_TERMS`` terms of items, and each shard is
+broadcast and queried in turn, so what is sent to the executors has a fixed bound
+whatever the benchmark's size. Document frequencies, mean length and the longest
+item are those of the whole benchmark, counted before (on the driver, 16 bytes a
+different term), so an item scores the same in any shard. Documents are never
+shuffled.
 
 Defined cases: null or empty texts match nothing; items without terms match
 nothing; equal items are all reported; rows of equal id report the same pairs
@@ -79,23 +81,47 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return text, text
 
 
+class Statistics:
+    """Of all items: ``n``, ``total`` and ``longest`` terms, and how many items have each of ``vocabulary``."""
+
+    def __init__(self):
+        self.n = self.total = self.longest = 0
+        self.vocabulary, self.df = np.zeros(0, _U), np.zeros(0, np.int64)
+
+    def add(self, items: list[tuple[int, str]]) -> None:
+        hashes, bounds = terms(pa.array([t for _, t in items], pa.large_string()))
+        size = np.diff(bounds)
+        self.n, self.total = self.n + len(items), self.total + int(size.sum())
+        self.longest = max(self.longest, int(size.max(initial=0)))
+        vocabulary, code = np.unique(hashes, return_inverse=True)
+        pair = np.unique(code.astype(np.int64) * max(1, len(items)) + owners(bounds))
+        df = np.bincount(pair // max(1, len(items)), minlength=len(vocabulary))
+        both, code = np.unique(np.concatenate([self.vocabulary, vocabulary]), return_inverse=True)
+        total = np.zeros(len(both), np.int64)
+        np.add.at(total, code, np.concatenate([self.df, df]))
+        self.vocabulary, self.df = both, total
+
+
 class Index:
-    """An inverted index of one shard of items."""
+    """An inverted index of one shard of items; ``whole``: the statistics of all shards, by default of this one."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD, whole: Statistics | None = None):
         self.threshold = threshold
+        if whole is None:
+            whole = Statistics()
+            whole.add(items)
         hashes, bounds = terms(pa.array([t for _, t in items], pa.large_string()))
         self.ids = [i for i, _ in items]
         size = np.diff(bounds)
-        self.segment = max(LEAST_SEGMENT, int(size.max(initial=0)))
+        self.segment = max(LEAST_SEGMENT, whole.longest)
         owner = owners(bounds)
         self.vocabulary, code = np.unique(hashes, return_inverse=True)
         n, v = len(items), len(self.vocabulary)
         pair, tf = np.unique(code.astype(np.int64) * n + owner, return_counts=True)
         term, item = pair // n, pair % n
-        df = np.bincount(term, minlength=v)
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * size[item] / max(1.0, float(size.mean()) if n else 1.0))
+        df = whole.df[np.searchsorted(whole.vocabulary, self.vocabulary)]
+        idf = np.log(1 + (whole.n - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * size[item] / max(1.0, whole.total / whole.n if whole.n else 1.0))
         weight = idf[term] * tf * (K1 + 1) / (tf + norm)
         own = np.bincount(item, weights=weight, minlength=n)
         weight = weight / np.where(own > 0, own, 1)[item]
@@ -280,6 +306,15 @@ def shards(benchmark: DataFrame, limit: int = SHARD_TERMS) -> Iterator[list[tupl
         yield shard
 
 
+def indexes(benchmark: DataFrame, threshold: float = THRESHOLD) -> Iterator[Index]:
+    """The indexes of all shards, one by one; the benchmark is read twice."""
+    whole = Statistics()
+    for shard in shards(benchmark):
+        whole.add(shard)
+    for shard in shards(benchmark):
+        yield Index(shard, threshold, whole)
+
+
 _SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
 
 
@@ -288,8 +323,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     parts = []
-    for shard in shards(benchmark):
-        shared = spark.sparkContext.broadcast(Index(shard, threshold))
+    for index in indexes(benchmark, threshold):
+        shared = spark.sparkContext.broadcast(index)
 
         @tidy
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -315,8 +350,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
     """The rows of ``docs`` that hold no test item, unchanged; no shuffle."""
     spark = docs.sparkSession
     kept, place = docs, docs.columns.index("text")
-    for shard in shards(benchmark):
-        shared = spark.sparkContext.broadcast(Index(shard, threshold))
+    for index in indexes(benchmark, threshold):
+        shared = spark.sparkContext.broadcast(index)
 
         @tidy
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

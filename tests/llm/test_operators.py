@@ -105,6 +105,27 @@ def test_shards_do_not_change_what_is_found(frame, spark, words, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()} >= {(k, k) for k in range(12)}
 
 
+def test_scores_are_those_of_the_whole_benchmark(frame, spark, words, monkeypatch):
+    import random
+
+    r = random.Random(6)
+    items = [(k, words(10 + 3 * k, k) + "\n" + words(20, k + 900)) for k in range(12)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    data = []
+    for k, text in items:  # altered copies: some words of each are replaced
+        for share in (0.05, 0.1, 0.2, 0.3):
+            data.append((len(data), words(50, k + 70) + " " + " ".join(w if r.random() > share else "other" for w in text.split())))
+
+    def found():
+        return {(x["doc_id"], x["item_id"]): (x["score"], x["first_word"]) for x in rows(decontamination.contaminated(frame(data), bench))}
+
+    one = found()
+    monkeypatch.setattr(decontamination.shards, "__defaults__", (100,))
+    many = found()
+    assert len(list(decontamination.shards(bench))) > 3 and any(0.6 <= s < 0.9 for s, _ in one.values())
+    assert set(many) == set(one) and all(many[k] == pytest.approx(one[k], abs=2e-6) for k in one)
+
+
 # -- op3 -------------------------------------------------------------------------
 
 
