@@ -3,7 +3,8 @@
 Each source is a queue of its shuffled documents. A document finishes at the
 virtual time (words its source has sent by then) / (its source's target), and
 the documents of all queues go out in the order of their virtual finish times
-until the total budget is spent. A source whose target exceeds its size goes
+until the next would pass the total budget, so the words left of it are fewer than
+that document has. A source whose target exceeds its size goes
 round its queue again, at most ``max_repeats`` times in all.
 
 No source, however large, meets in one task: positions in a queue come from sums
@@ -95,16 +96,24 @@ def mix(docs: DataFrame, share: float = 1.0, max_repeats: int = 3, seed: int = 0
     )
     placed = written(placed, "mix-queues")
     budget = int(round(share * sum(n for _, n, _ in per_source)))
-    # every time a document would go out: once a round, while the round can still count
+    # every time a document would go out: once a round
     finish = (F.col("round") * F.col("source_size") + F.col("sent")) / F.col("target")
-    sends = (
-        placed.where("size > 0 AND target > 0")
-        .withColumn("round", F.explode(F.sequence(F.lit(0), F.least(F.lit(max_repeats - 1), F.ceil(F.col("target") / F.col("source_size")).cast("int")))))
-        .withColumn("finish", finish)
-        .withColumn("bin", F.floor(F.col("finish") * TIME_BINS))
-        .where(F.col("bin") <= TIME_BINS + TIME_BINS // 64)
-    )
-    bound, spent = _last_bin(sends, budget)
+
+    def sent(last_round: Column) -> DataFrame:
+        return (
+            placed.where("size > 0 AND target > 0")
+            .withColumn("round", F.explode(F.sequence(F.lit(0), F.least(F.lit(max_repeats - 1), last_round))))
+            .withColumn("finish", finish)
+            .withColumn("bin", F.floor(F.col("finish") * TIME_BINS))
+        )
+
+    # the budget runs out about virtual time 1, unless long documents end far behind it
+    soon = TIME_BINS + TIME_BINS // 64
+    sends = sent(F.ceil(F.col("target") / F.col("source_size")).cast("int")).where(F.col("bin") <= soon)
+    bound, spent = _last_bin(sends, budget, soon)
+    if bound > soon:
+        sends = sent(F.lit(max_repeats - 1))
+        bound, spent = _last_bin(sends, budget, sends.agg(F.max("bin")).first()[0] or 0)
     # the bin in which the budget runs out is a 2**-20th of the mix
     order = Window.orderBy("finish", "source", "h", "doc_id", "round").rowsBetween(Window.unboundedPreceding, 0)
     edge = sends.where(F.col("bin") == bound).withColumn("upto", F.sum("size").over(order)).where(F.col("upto") <= budget - spent)
@@ -117,25 +126,23 @@ def mix(docs: DataFrame, share: float = 1.0, max_repeats: int = 3, seed: int = 0
     )
 
 
-def _last_bin(sends: DataFrame, budget: int) -> tuple[int, int]:
-    """The bin of virtual time in which the budget runs out, and the words before it.
+def _last_bin(sends: DataFrame, budget: int, last: int) -> tuple[int, int]:
+    """The bin of virtual time in which the budget runs out, and the words before it; beyond ``last`` if it does not.
 
-    Coarse bins first, then the bins of that coarse one: at most 1,041 and 1,024
-    rows reach the driver, whatever the input.
+    Coarse bins first, then finer ones of that coarse one: at most 2,048 rows, and
+    1,024 a step after it, reach the driver, whatever the input.
     """
-    coarse = sends.groupBy(F.shiftright("bin", 10).alias("c")).agg(F.sum("size").alias("w")).collect()
-    spent, top = 0, 0
-    for c, w in sorted((r.c, r.w) for r in coarse):
-        top = (c + 1) << 10
-        if spent + w <= budget:
-            spent += w
-            continue
-        fine = sends.where(F.shiftright("bin", 10) == c).groupBy("bin").agg(F.sum("size").alias("w")).collect()
-        for b, w in sorted((r.bin, r.w) for r in fine):
+    spent, shift, some = 0, max(10, last.bit_length() - 11), sends
+    while True:
+        for c, w in sorted((r.c, r.w) for r in some.groupBy(F.shiftright("bin", shift).alias("c")).agg(F.sum("size").alias("w")).collect()):
             if spent + w > budget:
-                return b, spent
+                break
             spent += w
-    return top, spent
+        else:
+            return last + 1, spent
+        if shift == 0:
+            return c, spent
+        some, shift = sends.where(F.shiftright("bin", shift) == c), max(0, shift - 10)
 
 
 def mixed_documents(docs: DataFrame, share: float = 1.0, max_repeats: int = 3, seed: int = 0) -> DataFrame:

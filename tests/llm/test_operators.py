@@ -453,6 +453,21 @@ def test_mixing(frame, edges, words):
     assert mixing.mix(frame([])).count() == 0
 
 
+@pytest.mark.parametrize("long", [100, 500, 5000])
+def test_mixing_goes_on_until_the_budget(frame, long):
+    # one long document ends far beyond virtual time 1, so the others go out further
+    docs = frame([(k, "w " * 10, "a") for k in range(100)] + [(500, "w " * long, "b")])
+    got = rows(mixing.mix(docs))
+    goal = mixing.targets([("a", 1000), ("b", long)], 1.0, 3)
+    sends = sorted([((10 * (k + 1)) / goal["a"], 10) for k in range(300)] + [(long * (k + 1) / goal["b"], long) for k in range(3)])
+    want = 0
+    for _, n in sends:
+        if want + n > 1000 + long:
+            break
+        want += n
+    assert sum(g["size"] * g["n_taken"] for g in got) == want and all(g["n_taken"] <= 3 for g in got)
+
+
 # -- op10 ------------------------------------------------------------------------
 
 
