@@ -224,7 +224,16 @@ def with_fallbacks(attempts: list[Callable[[], object]], hours: float = 4.0):
 
 #: Model presets.
 PRESETS = {
-    "P1": model.ModelParams(num_leaves=63, min_data_in_leaf=50), "P2": model.ModelParams(num_leaves=127, min_data_in_leaf=100),
+    "P1": model.ModelParams(num_boost_round=400, learning_rate=0.05, num_leaves=63, min_data_in_leaf=50),
+    "P2": model.ModelParams(num_boost_round=600, learning_rate=0.03, num_leaves=127, min_data_in_leaf=100),
+    "S1": model.ModelParams(num_boost_round=1200, learning_rate=0.03, num_leaves=255, min_data_in_leaf=120, valid_ratio=0.1),
+    "S2": model.ModelParams(num_boost_round=1600, learning_rate=0.025, num_leaves=383, min_data_in_leaf=120, valid_ratio=0.1),
+    "S3": model.ModelParams(num_boost_round=2200, learning_rate=0.02, num_leaves=511, min_data_in_leaf=150, valid_ratio=0.1),
+    "S4": model.ModelParams(num_boost_round=1600, learning_rate=0.025, num_leaves=383, min_data_in_leaf=120, valid_ratio=0.1),
+}
+#: Candidates a user, most negatives, and the share of hard ones, of the presets that fix them.
+PRESET_ROWS = {
+    name: {"candidate_topk": k, "max_negatives": 300_000, "hard_share": 0.0} for name, k in {"S1": 50, "S2": 50, "S3": 50, "S4": 60}.items()
 }
 
 

@@ -240,3 +240,12 @@ def test_submission(spark, log, items, tmp_path):
 
 def test_counts_of_windows():
     assert [n for n, _, _ in COUNTS][:5] == ["b1_1d", "b2_1d", "b3_1d", "b4_1d", "b1_3d"] and len(COUNTS) == 16
+
+
+def test_presets_are_the_reference_s():
+    got = {n: (p.num_leaves, p.min_data_in_leaf, p.learning_rate, p.num_boost_round) for n, p in flows.PRESETS.items()}
+    assert got == {
+        "P1": (63, 50, 0.05, 400), "P2": (127, 100, 0.03, 600), "S1": (255, 120, 0.03, 1200),
+        "S2": (383, 120, 0.025, 1600), "S3": (511, 150, 0.02, 2200), "S4": (383, 120, 0.025, 1600),
+    }
+    assert {n: r["candidate_topk"] for n, r in flows.PRESET_ROWS.items()} == {"S1": 50, "S2": 50, "S3": 50, "S4": 60}
