@@ -127,7 +127,7 @@ def _q_bounded_counts(f: Fixture) -> DataFrame:
 def _q_gbt(f: Fixture) -> DataFrame:
     built, names = features.build(f.full())
     labelled = metrics.attach_labels(built.persist(), f.labels)
-    fitted = model.train(sampling.training_rows(labelled, 10), names, model.ModelParams(num_boost_round=5, num_leaves=7, min_data_in_leaf=2))
+    fitted = model.train(sampling.training_rows(labelled), names)
     return model.predict(fitted, built).select("user_id", "item_id", "probability_1")
 
 

@@ -34,3 +34,24 @@ def test_every_query_has_a_plan(spark):
     for name, query in catalogue.queries().items():
         if name in catalogue.oracle_sql():
             assert query(spark, FIXTURE).columns
+
+
+def test_gbt_scores_train_with_the_defaults(spark, monkeypatch):
+    from skein.operators import model, sampling
+
+    seen, rows, train = {}, sampling.training_rows, model.train
+    small = model.ModelParams(num_boost_round=2, num_leaves=7, min_data_in_leaf=2)
+
+    def training_rows(labelled, *args, **kw):
+        seen["rows"] = (args, kw)
+        return rows(labelled, 10)
+
+    def trained(labelled, names, params=model.ModelParams()):
+        seen["params"] = params
+        return train(labelled, names, small)
+
+    monkeypatch.setattr(sampling, "training_rows", training_rows)
+    monkeypatch.setattr(model, "train", trained)
+    fixture = os.path.join(os.path.dirname(FIXTURE.rstrip("/")), "sf0.01")
+    assert catalogue.queries()["gbt_scores"](spark, fixture).count() > 0
+    assert seen == {"rows": ((), {}), "params": model.ModelParams()}
