@@ -67,13 +67,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("spans")
-    gone = substring.removals(docs).select(F.col("doc_id").alias("id"), "n_removed", "removed_words", "removed_chars", spans)
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    joined = ids.join(gone, F.col("doc_id").eqNullSafe(F.col("id")), "left")
-    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_removed", "removed_words", "removed_chars")]
-    return joined.select("doc_id", *numbers, F.coalesce("spans", F.lit("")).alias("spans"))
+    marked = substring.with_removals(table(spark, sf_dir, "documents"))
+    numbers = [F.coalesce(F.col(f"__gone.{c}"), F.lit(0)).cast("long").alias(c) for c in ("n_removed", "removed_words", "removed_chars")]
+    spans = F.array_join(F.transform("__gone.spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return marked.select(F.col("doc_id").cast("long").alias("doc_id"), *numbers, F.coalesce(spans, F.lit("")).alias("spans"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,26 +1,28 @@
-"""Substring dedup: repeated passages of words, wherever they begin and end.
-
-A unit is a window of ``min_words`` consecutive words of a text, lower case, with
-any white space between them, so a passage may begin inside a line and run over
-line ends. Of equal windows in the whole table the occurrence of lowest rank
-(doc_id, then place in the text) stays; all words of the others are removed, as
-spans of character offsets in the original text. So every passage of
-``min_words`` words or more goes that stands in an earlier place. Where it runs over
-a line end, the one or two words (under ``EDGE``) that it has of a line it begins or
-ends in stay, unless they are the whole line: so few are equal by chance.
-
-Windows are not all shuffled. Each has an anchor: of the runs of ``ANCHOR`` words
-in it, the one of least hash. Equal windows have equal anchors, so windows whose
-anchor occurs once are unique; the others (of texts that hold such an anchor) are
-grouped by a 96-bit digest. Anchors are one word in about eight. Rows that shuffle
-are digests and places, and the texts with a repeated anchor. A digest that holds
-a third of all units is summed before the shuffle, and the join that finds its
-occurrences has one row a digest on its other side, so Spark may split the hot side.
-
-Defined cases: a text of fewer than ``min_words`` words has no units; windows of
-one line that overlap the occurrence before are the same occurrence (a line of one
-word over and over is no repeat of itself); rows that repeat an id and text are one
-occurrence (equal rank) and stay or go together; a null id ranks before all others.
+"""Substring dedup: repeated runs of whole sentences, lines and paragraphs.
+
+A sentence ends with a line, or with a word that ends in one of ``. ! ?`` (a closing
+quote or bracket may follow) or their full-width forms. A unit is a run of whole
+sentences of at least ``min_words`` words, as short as it can be: one from each
+sentence on, and one up to each sentence's end. So a long sentence is a unit
+alone, and short lines count by the lines around them. Units may run over line
+ends; their words are compared in lower case, with any white space between them.
+Of equal units in the whole table the occurrence of lowest rank (doc_id, then
+place in the text) stays, and the others are removed, as spans of character offsets in
+the original text. Every run of whole sentences with ``min_words`` words or more
+in all that stands in an earlier place, paragraphs and texts among them, goes as a whole: each of its sentences is in
+a unit from it on, or in the one up to the run's end.
+
+Units are cut once and written; only their 96-bit digests and places are grouped.
+A text's own repeats are told apart where it is cut, so a digest needs only its least id.
+A digest that holds a third of all units is summed before the shuffle, and the join
+that finds its occurrences has one row a digest, read from files, on its other side, so Spark may
+split the hot side.
+
+Defined cases: null texts and texts of fewer than ``min_words`` words have no units;
+texts of any length are worked on whole, and a line without white space is one
+word; rows of one id have equal rank, so what they share stays or goes
+together; a null id ranks as the least number; of a sentence over and over the first stays; the columns of
+``docs`` may have any other names, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,177 +39,136 @@ from skein.llm.scratch import written
 from skein.llm.textarrays import SPACE, Texts, _power, mix, owners, slices
 from skein.llm.workers import map_batches, tidy
 
-MIN_WORDS = 25
-#: Words of an anchor; a shorter window is its own anchor.
-ANCHOR = 10
-#: Ids of texts with a repeated anchor that may be broadcast (8 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
-#: Fewer words of a line than this do not go with a passage on other lines.
-EDGE = 3
+#: Shorter runs of sentences recur by chance, or as single boilerplate lines.
+MIN_WORDS = 16
 _U = np.uint64
-
-
-def _runs(words: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of the n words from each on, over the ends of texts too."""
+_STOP, _CLOSE = np.zeros(256, bool), np.zeros(256, bool)
+_STOP[list(b".!?")] = True
+_CLOSE[list(b"\"')]")] = True
+#: The full-width full stop, exclamation mark and question mark.
+_WIDE = [int.from_bytes(c.encode(), "big") for c in "。！？"]
+
+
+def sentence_ends(texts: Texts, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per word: whether a sentence ends with it. Every text's last word does."""
+    data = np.concatenate([np.zeros(3, np.uint8), texts.data])  # so that three bytes can be read back
+    last = ends + 2
+    ending = _STOP[data[last]] | (_CLOSE[data[last]] & _STOP[data[last - 1]] & (ends - starts > 1))
+    wide = (data[last - 2].astype(np.int32) << 16) | (data[last - 1].astype(np.int32) << 8) | data[last]
+    ending |= np.isin(wide, _WIDE) & (ends - starts > 2)
+    breaks = np.searchsorted(starts, np.flatnonzero(texts.data == 10))  # the first word after each line break
+    ending[breaks[breaks > 0] - 1] = True
+    ending[bounds[1:][bounds[1:] > 0] - 1] = True
+    return ending
+
+
+def runs(ending: np.ndarray, bounds: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, end (exclusive) and text of every unit, once each, in order."""
+    stops = np.flatnonzero(ending) + 1
+    if not len(stops):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    begins = np.concatenate([[0], stops[:-1]])
+    owner = np.searchsorted(bounds, begins, "right") - 1
+    low, high = bounds[owner], bounds[owner + 1]
+    # from each sentence on: the first end that is far enough, within the text
+    at = np.searchsorted(stops, begins + min_words)
+    ok = np.flatnonzero(begins + min_words <= high)
+    first, end, who = begins[ok], stops[at[ok]], owner[ok]
+    # up to each sentence's end: the last begin that is far enough
+    at = np.searchsorted(begins, stops - min_words, "right") - 1
+    ok = np.flatnonzero(stops - min_words >= low)
+    pairs = np.concatenate([first, begins[at[ok]]]), np.concatenate([end, stops[ok]]), np.concatenate([who, owner[ok]])
+    order = np.lexsort((pairs[1], pairs[0]))
+    first, end, who = (x[order] for x in pairs)
+    new = np.ones(len(first), bool)
+    new[1:] = (first[1:] != first[:-1]) | (end[1:] != end[:-1])
+    return first[new], end[new], who[new]
+
+
+def _digest(words: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     up, down = _power(len(words) + 1)
     c = np.concatenate([np.zeros(1, _U), np.cumsum(words * up[: len(words)], dtype=_U)])
-    return mix((c[n:] - c[:-n]) * down[: len(words) - n + 1])
-
-
-def _least(values: np.ndarray, n: int) -> np.ndarray:
-    """Where the least of the n values from each on stands, the first of equal ones."""
-    at, span = np.arange(len(values)), 1
-    while span < n:
-        step = min(span, n - span)
-        a, b = at[:-step], at[step:]
-        at, span = np.where(values[b] < values[a], b, a), span + step
-    return at
-
-
-class _Windows:
-    """The windows of a batch's texts: ``first`` words, ``anchor`` places, ``owner`` texts."""
-
-    def __init__(self, text: pa.Array, min_words: int):
-        self.original = Texts(text)
-        self.starts, self.ends, self.bounds = self.original.spans(SPACE)
-        lowered = Texts(pc.utf8_lower(text.cast(pa.large_string())))
-        s, e, _ = lowered.spans(SPACE)
-        self.words = lowered.span_hash(s, e)
-        self.first = self.anchor = self.owner = np.zeros(0, np.int64)
-        if len(self.words) < min_words:
-            return
-        k = min(ANCHOR, min_words)
-        self.grams = _runs(self.words, k)
-        owner = owners(self.bounds)
-        self.first = np.flatnonzero(owner[: len(owner) - min_words + 1] == owner[min_words - 1 :])
-        self.anchor = _least(self.grams, min_words - k + 1)[self.first]
-        self.owner = owner[self.first]
-
-    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Different anchors and their texts."""
-        new = np.flatnonzero(np.diff(self.anchor, prepend=-1))
-        return self.anchor[new], self.owner[new]
-
-    def edges(self, first: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-        """The words that stay at the begin and at the end of each window; see ``EDGE``."""
-        if min_words <= 2 * EDGE:
-            return np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
-        n, breaks = len(self.starts), np.flatnonzero(self.original.data == 10)
-        begins = np.zeros(n + 1, bool)  # words that begin a line
-        begins[np.searchsorted(self.starts, breaks)] = True
-        begins[self.bounds] = True
-        at = np.flatnonzero(begins)
-        stop = first + min_words
-        after = at[np.searchsorted(at, first)] - first  # words up to the next line's begin; 0 for a line's first
-        before = stop - at[np.searchsorted(at, stop, "right") - 1]
-        return np.where(after < EDGE, after, 0), np.where(before < EDGE, before, 0)
-
-    def heads(self, keys: np.ndarray, first: np.ndarray, min_words: int) -> np.ndarray:
-        """The first word of the occurrence that each window belongs to."""
-        line = np.searchsorted(np.flatnonzero(self.original.data == 10), self.starts[first])
-        order = np.lexsort((first, keys))
-        k, f, ln = keys[order], first[order], line[order]
-        owner = np.searchsorted(self.bounds, f, "right")
-        new = np.ones(len(f), bool)
-        new[1:] = (k[1:] != k[:-1]) | (f[1:] - f[:-1] >= min_words) | (ln[1:] != ln[:-1]) | (owner[1:] != owner[:-1])
-        heads = np.empty_like(first)
-        heads[order] = f[np.maximum.accumulate(np.where(new, np.arange(len(f)), 0))]
-        return heads
-
-
-def anchors(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``h, doc_id, pos``: the anchors of all windows; ``pos`` counts words of the text."""
+    return mix((c[end] - c[first]) * down[first] + (end - first).astype(_U))
 
-    @tidy
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                w = _Windows(part.column(1), min_words)
-                at, owner = w.anchors()
-                if len(at):
-                    columns = [pa.array(w.grams[at].view(np.int64)), part.column(0).take(pa.array(owner)), pa.array((at - w.bounds[owner]).astype(np.int32))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["h", "doc_id", "pos"])
 
-    return _texts(docs).transform(map_batches, run, "h long, doc_id long, pos int")
+_UNITS = "d long, t int, h1 long, h2 int, words long, chars long, again boolean"
+#: The rank of a null id.
+_LEAST = -(1 << 63)
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _key() -> list:
+    """``d, t``: what ranks a row, and what tells rows of one id with other texts apart."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)), F.hash(F.col("text").cast("string"))]
 
 
 def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``h1, h2, doc_id, pos, head, edges, start, end`` of every window whose anchor occurs more than once.
+    """``d, t, h1, h2, words, chars, again`` of every unit.
 
-    ``pos``: its first word; ``head``: that of its occurrence; ``edges``: the words that stay
-    at its begin, times ``EDGE``, plus those at its end. Offsets are without these and count characters, end exclusive.
+    ``words`` and ``chars`` are its first place times 2**32, plus the place after its last;
+    ``again``: the text has an equal unit before it.
     """
-    a = anchors(docs, min_words)
-    shared = a.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    marks = written(a.join(shared, "h").groupBy("doc_id").agg(F.collect_set("pos").alias("marks")), "substring-anchors")
-    m = marks.withColumnRenamed("doc_id", "id")
-    some = _texts(docs)
-    if m.count() <= BROADCAST_IDS:
-        some = some.join(F.broadcast(m.select("id")), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    some = some.join(m, F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "text", "marks")
-    schema = "h1 long, h2 int, doc_id long, pos int, head int, edges int, start int, end int"
-    names = [x.split()[0] for x in schema.split(", ")]
+    names = [x.split()[0] for x in _UNITS.split(", ")]
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                w = _Windows(part.column(1), min_words)
-                marked = np.zeros(len(w.words), bool)
-                lists = part.column(2)
-                sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-                places = lists.flatten().to_numpy(zero_copy_only=False) + np.repeat(w.bounds[:-1], sizes)
-                marked[places[places < len(marked)]] = True  # an id may stand for texts of other lengths
-                pick = np.flatnonzero(marked[w.anchor])
-                if not len(pick):
+                text = Texts(part.column(2))
+                starts, ends, bounds = text.spans(SPACE)
+                lowered = Texts(pc.utf8_lower(part.column(2).cast(pa.large_string())))
+                s, e, _ = lowered.spans(SPACE)
+                words = lowered.span_hash(s, e)
+                first, stop, owner = runs(sentence_ends(text, starts, ends, bounds), bounds, min_words)
+                if not len(first):
                     continue
-                first, owner = w.first[pick], w.owner[pick]
-                one = _runs(w.words, min_words)[first]
-                two = _runs(mix(w.words ^ _U(0xC2B2AE3D27D4EB4F)), min_words)[first]
-                chars = np.concatenate([[0], np.cumsum(w.original.code_points())])
-                begin = chars[w.original.offsets[owner]]
-                before, after = w.edges(first, min_words)
-                numbers = [
-                    first - w.bounds[owner], w.heads(one, first, min_words) - w.bounds[owner], before * EDGE + after,
-                    chars[w.starts[first + before]] - begin, chars[w.ends[first + min_words - after - 1]] - begin,
+                one = _digest(words, first, stop)
+                two = _digest(mix(words ^ _U(0xC2B2AE3D27D4EB4F)), first, stop)
+                order = np.lexsort((first, one, owner))
+                again = np.zeros(len(first), bool)
+                again[order[1:]] = (one[order[1:]] == one[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
+                chars = np.concatenate([[0], np.cumsum(text.code_points())])
+                begin, base = chars[text.offsets[owner]], bounds[owner]
+                who = pa.array(owner)
+                columns = [
+                    part.column(0).take(who), part.column(1).take(who),
+                    pa.array(one.view(np.int64)), pa.array((two >> _U(32)).astype(np.uint32).view(np.int32)),
+                    pa.array((first - base) << 32 | (stop - base)), pa.array((chars[starts[first]] - begin) << 32 | (chars[ends[stop - 1]] - begin)),
+                    pa.array(again),
                 ]
-                columns = [pa.array(one.view(np.int64)), pa.array((two >> _U(32)).astype(np.uint32).view(np.int32)), part.column(0).take(pa.array(owner))]
-                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x.astype(np.int32)) for x in numbers)], names=names)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return some.transform(map_batches, run, schema)
+    d, t = _key()
+    return docs.select(d.alias("d"), t.alias("t"), F.col("text").cast("string").alias("text")).transform(map_batches, run, _UNITS)
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The windows to remove: all but the occurrence of lowest rank of each digest."""
-    u = units(docs, min_words)
-    places = F.min(F.struct("doc_id", "head")).alias("keep"), F.max(F.struct("doc_id", "head")).alias("last")
-    groups = u.groupBy("h1", "h2").agg(*places).where(~F.col("keep").eqNullSafe(F.col("last"))).select("h1", "h2", "keep")
-    a, g = u.alias("a"), groups.alias("g")
-    join = a.join(g, (F.col("a.h1") == F.col("g.h1")) & (F.col("a.h2") == F.col("g.h2")))
-    return join.where(~F.struct("a.doc_id", "a.head").eqNullSafe(F.col("g.keep"))).select("a.doc_id", "a.pos", "a.edges", "a.start", "a.end")
+    """The units to remove: all but the occurrence of lowest rank of each digest."""
+    u = written(units(docs, min_words), "substring-units")
+    once = u.where("NOT again")
+    groups = once.groupBy("h1", "h2").agg(F.min("d").alias("keep"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "keep")
+    groups = written(groups, "substring-groups")
+    elsewhere = once.join(groups, ["h1", "h2"]).where("d <> keep").select("d", "t", "words", "chars")
+    found = elsewhere.unionByName(u.where("again").select("d", "t", "words", "chars")).distinct()
+    low = F.lit((1 << 32) - 1)
+    places = [x for c, b, e in (("words", "first", "stop"), ("chars", "start", "end")) for x in (F.shiftright(c, 32).alias(b), F.col(c).bitwiseAND(low).alias(e))]
+    return found.select("d", "t", *places)
 
 
 def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row a document that loses words: ``doc_id, n_removed, removed_words, removed_chars, spans``.
+    """One row a document that loses words: ``d, t, n_removed, removed_words, removed_chars, spans``.
 
-    ``spans``: start and end of each removed passage (windows that overlap or touch are one),
-    in order. A document's own words bound the list.
+    ``spans``: start and end of each removed passage (units that overlap or touch are one),
+    in order. A document's own sentences bound the list.
     """
-    order = Window.partitionBy("doc_id").orderBy("pos")
-    new = F.coalesce((F.col("pos") - F.lag("pos").over(order) > min_words).cast("int"), F.lit(1))
-    begin = F.min(F.col("pos") + F.floor(F.col("edges") / EDGE))
-    stop = F.max(F.col("pos") - F.col("edges") % EDGE) + min_words
+    order = Window.partitionBy("d", "t").orderBy("first", "stop")
+    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        repeated_units(docs, min_words).distinct()
-        .withColumn("new", new)
-        .withColumn("passage", F.sum("new").over(order))
-        .groupBy("doc_id", "passage")
-        .agg(F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"), (stop - begin).alias("n_words"))
-        .groupBy("doc_id")
+        repeated_units(docs, min_words)
+        .withColumn("new", (F.col("first") > F.coalesce(before, F.lit(-1))).cast("int"))
+        .withColumn("passage", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("d", "t", "passage")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.max("stop") - F.min("first")).alias("n_words"))
+        .groupBy("d", "t")
         .agg(
             F.count("*").alias("n_removed"),
             F.sum("n_words").alias("removed_words"),
@@ -217,39 +178,73 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
+def with_removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with the columns of :func:`removals` under ``__gone``, null where a row loses nothing."""
+    gone = removals(docs, min_words).select(F.col("d").alias("__d"), F.col("t").alias("__t"), F.struct("n_removed", "removed_words", "removed_chars", "spans").alias("__gone"))
+    # hashed before the join, so that texts are not shuffled where no one reads them
+    d, t = _key()
+    return docs.withColumn("__d", d).withColumn("__t", t).join(gone, ["__d", "__t"], "left").drop("__d", "__t")
+
+
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the repeated units cut out of ``text``; other columns pass through."""
-    gone = removals(docs, min_words).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), "left")
+    joined = with_removals(docs, min_words)
+    spans = F.col("__gone.spans")
     # the text between one removed span and the next
-    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("__spans", lambda s: s["end"]))
-    ends = F.concat(F.transform("__spans", lambda s: s["start"]), F.array(F.length("text").cast("long")))
+    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["end"]))
+    ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length("text").cast("long")))
     pieces = F.zip_with(begins, ends, lambda b, e: F.col("text").substr((b + 1).cast("int"), (e - b).cast("int")))
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
     return joined.withColumn("text", text).select(*docs.columns)
 
 
 def oracle_sql(min_words: int = MIN_WORDS) -> str:
-    """Whole lines of ``min_words`` or more from DuckDB, which compares the normalised lines themselves.
-
-    A part of what the query removes: it sees no passage inside a line or over shorter ones.
-    """
+    """The same from DuckDB, which compares the units' words themselves."""
     return f"""
-WITH cut AS (
-  SELECT doc_id, unnest(generate_series(1, len(string_split(text, chr(10))))) AS k, unnest(string_split(text, chr(10))) AS line
-  FROM documents WHERE text IS NOT NULL),
+WITH line AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(1, len(string_split(text, chr(10))))) AS k
+  FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
 placed AS (
-  SELECT doc_id, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM cut),
+  SELECT doc_id, text, k, line,
+         coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id, text ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base
+  FROM line),
+cut AS (
+  SELECT doc_id, text, k, base, regexp_extract_all(line, '[\\x20\\x09-\\x0D]+|[^\\x20\\x09-\\x0D]+') AS pieces
+  FROM placed),
+piece AS (
+  SELECT doc_id, text, k, base, unnest(pieces) AS piece, unnest(generate_series(1, len(pieces))) AS p, len(pieces) AS n FROM cut),
+word AS (
+  SELECT doc_id, text, piece AS w, base + coalesce(sum(length(piece)) OVER (PARTITION BY doc_id, text, k ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start, k, p
+  FROM piece),
+numbered AS (
+  SELECT doc_id, text, w, start, row_number() OVER (PARTITION BY doc_id, text ORDER BY k, p) AS i, k, lead(k) OVER (PARTITION BY doc_id, text ORDER BY k, p) AS next_k
+  FROM word WHERE NOT regexp_matches(w, '[\\x20\\x09-\\x0D]')),
+doc AS (
+  SELECT doc_id, text, list(lower(w) ORDER BY i) AS words, list(start ORDER BY i) AS starts, list(start + length(w) ORDER BY i) AS ends,
+         list(i ORDER BY i) FILTER (WHERE next_k IS DISTINCT FROM k OR regexp_matches(w, '([.!?]["'')\\]]?|[。！？])$')) AS stops
+  FROM numbered GROUP BY doc_id, text),
+sentence AS (
+  SELECT *, list_concat([0], list_slice(stops, 1, len(stops) - 1)) AS begins FROM doc),
+span AS (
+  SELECT * EXCLUDE (b), b AS first, list_min(list_filter(stops, lambda s: s >= b + {min_words})) AS stop FROM (SELECT *, unnest(begins) AS b FROM sentence)
+  UNION
+  SELECT * EXCLUDE (e), list_max(list_filter(begins, lambda b: b <= e - {min_words})) AS first, e AS stop FROM (SELECT *, unnest(stops) AS e FROM sentence)),
 units AS (
-  SELECT doc_id, start, start + length(line) AS stop, list_filter(string_split_regex(lower(line), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM placed),
+  SELECT doc_id, text, first, stop, starts[first + 1] AS start, ends[stop] AS finish, array_to_string(list_slice(words, first + 1, stop), ' ') AS body
+  FROM span WHERE first IS NOT NULL AND stop IS NOT NULL),
 ranked AS (
-  SELECT doc_id, start, stop, len(words) AS n, row_number() OVER (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, start) AS r
-  FROM units WHERE len(words) >= {min_words}),
+  SELECT *, first_value(doc_id) OVER (PARTITION BY body ORDER BY doc_id NULLS FIRST) AS keep, row_number() OVER (PARTITION BY body, doc_id, text ORDER BY first) AS r
+  FROM units),
 gone AS (
-  SELECT doc_id, count(*) AS n_removed, sum(n) AS removed_words, sum(stop - start) AS removed_chars,
-         string_agg(start || ':' || stop, ',' ORDER BY start) AS spans
-  FROM ranked WHERE r > 1 GROUP BY doc_id)
+  SELECT *, max(stop) OVER (PARTITION BY doc_id, text ORDER BY first, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM ranked WHERE r > 1 OR doc_id IS DISTINCT FROM keep),
+passage AS (
+  SELECT *, sum((first > coalesce(before, -1))::INT) OVER (PARTITION BY doc_id, text ORDER BY first, stop ROWS UNBOUNDED PRECEDING) AS g FROM gone),
+removed AS (
+  SELECT doc_id, text, g, min(start) AS start, max(finish) AS finish, max(stop) - min(first) AS n FROM passage GROUP BY doc_id, text, g),
+total AS (
+  SELECT doc_id, text, count(*) AS n_removed, sum(n) AS removed_words, sum(finish - start) AS removed_chars,
+         string_agg(start || ':' || finish, ',' ORDER BY start) AS spans
+  FROM removed GROUP BY doc_id, text)
 SELECT d.doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(removed_words, 0)::BIGINT AS removed_words,
        coalesce(removed_chars, 0)::BIGINT AS removed_chars, coalesce(spans, '') AS spans
-FROM documents d LEFT JOIN gone g ON d.doc_id IS NOT DISTINCT FROM g.doc_id"""
+FROM documents d LEFT JOIN total t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND d.text = t.text"""

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from skein.llm import decontamination, line_templates, mixing, near_duplicates, pii, quality, substring, token_counts, token_files, toxicity
+from skein.llm import decontamination, line_templates, mixing, near_duplicates, pii, quality, token_counts, token_files, toxicity
 from skein.llm.queries import tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -466,82 +466,3 @@ def test_mixing_goes_on_until_the_budget(frame, long):
             break
         want += n
     assert sum(g["size"] * g["n_taken"] for g in got) == want and all(g["n_taken"] <= 3 for g in got)
-
-
-# -- op10 ------------------------------------------------------------------------
-
-
-def test_substrings(frame, edges, words):
-    passage = words(60, 2)
-    data = [(k, words(40, k + 10).replace("\n", " ") + "\n" + (passage.upper() if k % 3 == 0 else "  " + passage) + "\n" + words(10, k).replace("\n", " ")) for k in range(10, 30)]
-    docs = frame(edges + data, extra=True)
-    got = {r["doc_id"]: r for r in rows(substring.removals(docs))}
-    assert set(got) == {i for i, _ in data[1:]}
-    text = dict(data)
-    for i, r in got.items():
-        (s,) = r["spans"]
-        assert text[i][s["start"] : s["end"]].strip().lower() == passage.lower() and r["removed_words"] == 60
-    out = {r["doc_id"]: r["text"] for r in substring.deduplicated(docs).collect()}
-    assert out[10] == text[10] and all(passage.lower() not in out[i].lower() and len(out[i]) < len(text[i]) for i in got)
-    assert substring.removals(frame([])).count() == 0
-
-
-def test_substrings_are_found_inside_lines_and_over_short_ones(frame, words):
-    import random
-
-    r = random.Random(11)
-    short = "\n".join(words(8, 600 + 2 * k).replace("\n", " ") for k in range(8))  # 64 words, no line of 25
-    inside = words(60, 4)
-    data = [(1, short), (2, short), (3, words(30, 20) + " " + inside + " " + words(30, 22)), (4, words(31, 24) + " " + inside.replace(" ", "\n").upper() + " " + words(9, 26))]
-    stock = [words(40, 700 + 2 * k) for k in range(8)]
-    data += [(10 + k, " ".join(words(r.randint(1, 30), 800 + 2 * k + j) if r.random() < 0.5 else " ".join(r.choice(stock).split()[r.randint(0, 9) :]) for j in range(6))) for k in range(40)]
-    data += [(100, (words(40, 30) + "\n") * 2), (101, "ha " * 90), (102, "y " * 30 + "\n" + "y " * 30)]
-    # brute force: a window of 25 words goes if an equal one has a lower rank, unless it overlaps an equal one before it in its line
-    seen, gone = {}, defaultdict(set)
-    for i, text in data:
-        at = [(m.start(), m.end()) for m in WORD.finditer(text)]
-        w = [text[s:e].lower() for s, e in at]
-        last = {}
-        for k in range(len(w) - 24):
-            key, line = tuple(w[k : k + 25]), text.count("\n", 0, at[k][0])
-            p = last.get(key)
-            head = p[2] if p and k - p[0] < 25 and p[1] == line else k
-            last[key] = (k, line, head)
-            if seen.setdefault(key, (i, head)) != (i, head):
-                gone[i] |= set(range(k, k + 25))
-    # one or two words of a line stay where a passage begins or ends in it
-    for i, text in data:
-        line = [text.count("\n", 0, m.start()) for m in WORD.finditer(text)]
-        edge = set()
-        for k in gone[i]:
-            for step in (1, -1):
-                part = [j for j in range(k, k + 3 * step, step) if j in gone[i] and line[j] == line[k]]
-                alone = k - step not in gone[i] and 0 <= k - step < len(line) and line[k - step] == line[k]
-                if alone and len(part) < 3 and part[-1] + step in gone[i]:
-                    edge |= set(part)
-        gone[i] -= edge
-    gone = {i: x for i, x in gone.items() if x}
-    got = {r["doc_id"]: r for r in rows(substring.removals(frame(data, extra=True)))}
-    assert {2, 4, 100, 102} <= set(got) and not {1, 3, 101} & set(got)
-    assert {i: r["removed_words"] for i, r in got.items()} == {i: len(x) for i, x in gone.items()}
-    text = dict(data)
-    for i, r in got.items():
-        at = [(m.start(), m.end()) for m in WORD.finditer(text[i])]
-        assert {k for k, (s, e) in enumerate(at) for x in r["spans"] if x["start"] <= s and e <= x["end"]} == gone[i]
-    assert got[2]["removed_words"] == 64 and got[4]["removed_words"] == 58
-
-
-def test_substrings_hold_the_lines_of_the_sql(spark, frame, words, tmp_path):
-    import duckdb
-
-    lines = [words(n, 900 + 2 * n) for n in (24, 25, 26, 40, 70)]
-    docs = frame([(k, "\n".join([words(30, 40 + 2 * k), "  " + lines[k % 5], lines[(k * 3 + 1) % 5].upper()])) for k in range(30)])
-    docs.write.parquet(str(tmp_path / "d"))
-    con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
-    got = {r["doc_id"]: r["spans"] for r in rows(substring.removals(docs))}
-    text = {r["doc_id"]: r["text"] for r in rows(docs)}
-    for i, spans in con.execute(f"select doc_id, spans from ({substring.oracle_sql()}) where n_removed > 0").fetchall():
-        for s, e in (map(int, x.split(":")) for x in spans.split(",")):
-            s = e - len(text[i][s:e].lstrip())
-            assert any(x["start"] <= s and e <= x["end"] for x in got[i])
