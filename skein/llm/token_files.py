@@ -3,45 +3,46 @@
 Three steps, each of which can be repeated if an executor is lost:
 
 1. the documents are range-sorted by id, encoded, and kept as raw ids in a table
-   of shards in the shared folder (:func:`encode`);
+   of blocks in the shared folder (:func:`encode`);
 2. ids are counted over all documents and ranked by frequency, so that frequent
    ids become small numbers; the rank table has one row a vocabulary entry;
-3. every shard becomes one binary file ``shard=<part>-<n>/part-*`` (:func:`write`):
-   ranks of 1 to 4 bytes, two control bits each (their length less one), all
-   control bytes before all data bytes.
+3. every block is coded (:func:`write`): ranks of 1 to 4 bytes, two control bits
+   each (their length less one), all control bytes before all data bytes. A file
+   holds the blocks of one task, ``FILE_BLOCKS`` at most.
 
 :func:`read` reads the files back with Spark's binary reader and decodes them by
 numpy table lookup: a control byte looks up the lengths and places of 4 values.
 
-File: magic, then little-endian uint64 fields (documents, ids, bytes of control,
-bytes of data), int64 doc ids, uint8 flags (1: the id is null), int64 lengths,
-control, data.
+Block: magic, then little-endian uint64 fields (documents, ids, bytes of control,
+bytes of data, ids of all documents before it), int64 doc ids, uint8 flags (1: the id is null), int64 lengths,
+control, data; a line break follows. Blocks hold ascending doc ids, and their starts order them.
 
 Every document's ids end with ``end_id``. Defined cases: a null text is empty
-and has the end id only; rows of equal id are all written, side by side; null
-ids come first. An empty table gives no files.
+and has the end id only; texts of any length are encoded whole; rows of equal id are all
+written, side by side, in the order of their texts' hashes; null
+ids come first. An empty table gives no blocks.
 """
 
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.llm.byte_bpe import Encoder
 from skein.llm.scratch import new_path, written
 from skein.llm.textarrays import slices
 from skein.llm.workers import hold, map_batches, tidy, trim
 
-MAGIC = b"SKTOKEN1"
-SHARD_TOKENS = 2_000_000
-#: Pieces of text whose ids a worker keeps: about 130 bytes each.
-MEMO_PIECES = 800_000
+MAGIC = b"SKTOKEN2"
+#: Ids of a block (or those of one slice of texts beyond), and blocks of a file: about 50 MB.
+BLOCK_TOKENS, FILE_BLOCKS = 2_000_000, 16
+#: Bytes of text encoded at once, or one text.
+SLICE = 4 << 20
 
 
 # -- the number coding ------------------------------------------------------
@@ -81,10 +82,10 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 SIZE, PLACE, TOTAL = _tables()
 
 
-def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
+def unpack(control, data, n: int) -> np.ndarray:
     """The ``n`` values that :func:`pack` coded."""
     out = np.empty(n, np.uint32)
-    c, d = np.frombuffer(control, np.uint8), np.frombuffer(data + b"\0\0\0", np.uint8)
+    c, d = np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8)
     begin = 0
     for k in range(0, n, BLOCK):
         m = min(BLOCK, n - k)
@@ -102,236 +103,132 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-# -- the encoder --------------------------------------------------------------
-
+# -- the steps ----------------------------------------------------------------
 
-class Encoder:
-    """Whole texts to ids by a byte-level BPE file of the tokenizers library.
+_SHARDS = "part int, inner long, n_docs long, n_tokens long, doc_ids binary, nulls binary, counts binary, ids binary, seen array<int>, seen_n array<long>"
 
-    The library cuts a text into words before it merges, and words never join.
-    Where a text has only single spaces and line breaks between words, its words
-    are looked up by the string that stands between them, and only strings not
-    seen before go to the library: its model for one word of Latin letters, which
-    full stops and commas may follow, else the whole tokenizer, many at a time.
-    All other texts (runs of white space, other white space, special strings) go
-    to the library as they are.
-    """
 
-    def __init__(self, path: str, memo_pieces: int = MEMO_PIECES):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
-            raise ValueError("ids must fit 16 bits here")
-        self.memo_pieces = memo_pieces
-        self.special = tuple(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
-        #: Ids by what stands between two spaces, the space before it included. A piece that begins
-        #: with a line break has no space before it. 0: left to the library.
-        self.memo: dict[str, bytes | int] = {}
-        self.line_break, comma, stop = self._encode(["\n", ",", "."])
-        self.mark = {",": comma, ".": stop}
-        self.tokenize = self.tokenizer.model.tokenize
-        #: The letters that stand for bytes in the vocabulary, as the library's own alphabet step gives them.
-        from tokenizers.pre_tokenizers import ByteLevel
-
-        latin = [bytes([k]).decode("latin-1") for k in range(256)]
-        shown = {}
-        for c in map(chr, range(1, 0x250)):
-            if c.isalpha() or c == " ":
-                ((word, _),) = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c)
-                shown.update(zip(c.encode().decode("latin-1"), word))
-        self.space = shown[" "]
-        self.letters = str.maketrans({c: shown[c] for c in latin if c in shown})
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [array("H", x.ids).tobytes() for x in got]
-
-    def _plain(self, text: str) -> bool:
-        return not ("  " in text or " \n" in text or "\n\n" in text or any(s in text for s in self.special))
-
-    def _word(self, word: str, lead: str) -> bytes:
-        """The ids of one word of letters, after ``lead`` (a space's letter, or nothing), by the library's model."""
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        return array("H", [x.id for x in self.tokenize(lead + word)]).tobytes()
-
-    def _learn(self, pieces: set[str]) -> None:
-        memo, rest, word_ids, marks, tokenize, space = self.memo, [], self._word, self.mark, self.tokenize, self.space
-        for p in pieces:
-            if p.isalpha():  # most pieces: a word after a space
-                if p in memo:
-                    continue
-                if p.isascii():
-                    memo[p] = array("H", [x.id for x in tokenize(space + p)]).tobytes()
-                    continue
-                if max(p) < "\u0250":
-                    memo[p] = word_ids(p, space)
-                    continue
-            brk, lead, s = (self.line_break, "", p[1:]) if p[:1] == "\n" else (b"", " ", p)
-            word, mark = (s[:-1], marks[s[-1]]) if s[-1:] in marks else (s, b"")
-            if not s:
-                memo[p] = brk or 0
-            elif word.isalpha() and max(word) < "\u0250":
-                ids = memo.get(word) if lead else None
-                if not ids:
-                    ids = word_ids(word, lead and space)
-                    if lead:
-                        memo[word] = ids
-                memo[p] = brk + ids + mark
-            elif s.split() != [s]:
-                memo[p] = 0  # white space of another kind
-            else:
-                rest.append((p, brk, lead + s))
-        for (p, brk, _), ids in zip(rest, self._encode([x for _, _, x in rest])):
-            memo[p] = brk + ids
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian 16-bit integers."""
-        if len(self.memo) > self.memo_pieces:
-            # what was learned first is the more frequent half
-            self.memo = dict(islice(self.memo.items(), self.memo_pieces // 2))
-        get, cut, new = self.memo.get, [], set()
-        for t in texts:
-            if not self._plain(t):
-                cut.append(None)
-                continue
-            pieces = ("\n" + t).replace("\n", " \n").split(" ")[1:]
-            ids = list(map(get, pieces))
-            gaps = None
-            if None in ids:
-                gaps = []
-                for k, x in enumerate(ids):
-                    if x is None:
-                        p = pieces[k]
-                        gaps.append((k, p))
-                        new.add(p)
-            cut.append((ids, gaps))
-        self._learn(new)
-        out: list[bytes | None] = []
-        skip = len(self.line_break)
-        for x in cut:
-            if x is None:
-                out.append(None)
-                continue
-            ids, gaps = x
-            try:
-                for k, p in gaps or ():
-                    ids[k] = get(p)
-                out.append(b"".join(ids)[skip:])
-            except TypeError:  # a piece left to the library
-                out.append(None)
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, x in zip(rest, self._encode([texts[k] for k in rest])):
-            out[k] = x
-        return out
-
-
-def encoder(path: str, memo_pieces: int = MEMO_PIECES) -> Encoder:
-    return hold(("encoder", path, memo_pieces), lambda: Encoder(path, memo_pieces))
+def encoder(path: str) -> Encoder:
+    return hold(("encoder", path), lambda: Encoder(path))
 
 
-# -- the steps ----------------------------------------------------------------
+def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same texts with ``end_id`` after each."""
+    counts = counts + 1
+    out = np.full(int(counts.sum()), end_id, np.uint16)
+    own = np.ones(len(out), bool)
+    own[np.cumsum(counts) - 1] = False
+    out[own] = ids
+    return out, counts
 
-_SHARDS = "part int, seq int, doc_ids binary, nulls binary, counts binary, n_tokens long, ids binary, seen array<int>, seen_n array<long>"
 
-
-def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens: int = SHARD_TOKENS, memo_pieces: int = MEMO_PIECES) -> DataFrame:
-    """Shards of raw ids in ascending doc_id order; ``part, seq`` order the shards."""
+def encode(docs: DataFrame, tokenizer: str, end_id: int = 0, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Blocks of raw ids in ascending doc_id order; ``part`` and ``inner``, the ids of its part before it, order them."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    tail = np.array([end_id], "<u2").tobytes()
-
-    # sorted as text, which the shuffle compresses better than ids
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id").withColumn("part", F.spark_partition_id())
-
-    def to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = encoder(tokenizer, memo_pieces)
-        doc, nulls, counts, blobs, size, seq, number = [], [], [], [], 0, 0, 0
-
-        def shard():
-            ids = b"".join(blobs)
-            values, total = np.frombuffer(ids, "<u2"), np.zeros(1 << 16, np.int64)
-            for k in range(0, len(values), BLOCK):
-                total += np.bincount(values[k : k + BLOCK], minlength=1 << 16)
+    names = [x.split()[0] for x in _SHARDS.split(", ")]
+    kinds = [pa.int32(), *[pa.int64()] * 3, *[pa.binary()] * 4, pa.list_(pa.int32()), pa.list_(pa.int64())]
+
+    # sorted as text, which the shuffle compresses better than ids; the hash deals out rows of one id (or of none)
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+
+    def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = encoder(tokenizer)
+        held: list[tuple] = []
+        number, size, inner = 0, 0, 0
+
+        def block() -> pa.RecordBatch:
+            doc_ids, nulls, counts, ids = (np.concatenate(x) for x in zip(*held))
+            total = np.zeros(1 << 16, np.int64)
+            for k in range(0, len(ids), BLOCK):
+                total += np.bincount(ids[k : k + BLOCK], minlength=1 << 16)
             seen = np.flatnonzero(total)
-            row = [number, seq, np.array(doc, "<i8").tobytes(), bytes(nulls), np.array(counts, "<i8").tobytes(), size, ids, seen, total[seen]]
-            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
-            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=[x.split()[0] for x in _SHARDS.split(", ")])
+            row = [number, inner, len(counts), len(ids), *(x.tobytes() for x in (doc_ids, nulls, counts, ids)), seen, total[seen]]
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=names)
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 number = part.column(2)[0].as_py()
-                ids = model.encode([t or "" for t in part.column(1).to_pylist()])
-                for d, b in zip(part.column(0).to_pylist(), ids):
-                    doc.append(d or 0), nulls.append(d is None), blobs.append(b + tail), counts.append(len(b) // 2 + 1)
-                    size += len(b) // 2 + 1
-                    if size >= shard_tokens:
-                        yield shard()
-                        doc, nulls, counts, blobs, size, seq = [], [], [], [], 0, seq + 1
-        if doc:
-            yield shard()
+                doc = part.column(0)
+                ids, counts = with_end(*model.encode(part.column(1)), end_id)
+                nulls = doc.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
+                held.append((doc.fill_null(0).to_numpy().astype("<i8"), nulls, counts.astype("<i8"), ids.astype("<u2")))
+                size += len(ids)
+                if size >= block_tokens:
+                    yield block()
+                    held, size, inner = [], 0, inner + size
+        if held:
+            yield block()
         trim()
 
-    return written(ordered.transform(map_batches, to_shards, _SHARDS), "token-shards", "snappy")
+    return written(ordered.transform(map_batches, to_blocks, _SHARDS), "token-blocks", "snappy")
 
 
-def ranks(shards: DataFrame) -> list[int]:
+def ranks(blocks: DataFrame) -> list[int]:
     """Ids by falling frequency over all documents (ties: by id); one entry for each id that occurs."""
 
-    pairs = shards.select(F.explode(F.arrays_zip("seen", "seen_n")).alias("x")).select(F.col("x.seen").alias("id"), F.col("x.seen_n").alias("n"))
+    pairs = blocks.select(F.explode(F.arrays_zip("seen", "seen_n")).alias("x")).select(F.col("x.seen").alias("id"), F.col("x.seen_n").alias("n"))
     rows = pairs.groupBy("id").agg(F.sum("n").alias("n")).collect()
     return [r.id for r in sorted(rows, key=lambda r: (-r.n, r.id))]
 
 
-def write(shards: DataFrame, table: list[int], path: str) -> None:
-    """One file a shard below ``path``, and the rank table in ``path/ranks``."""
-    spark = shards.sparkSession
+def write(blocks: DataFrame, table: list[int], path: str) -> None:
+    """Files of up to ``FILE_BLOCKS`` blocks in ``path/blocks``, and the rank table in ``path/ranks``."""
+    spark = blocks.sparkSession
     spark.createDataFrame([(k, i) for k, i in enumerate(table)], "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
     to_rank = np.zeros(1 << 16, np.uint32)
     to_rank[np.array(table, np.int64)] = np.arange(len(table), dtype=np.uint32)
-    shared = spark.sparkContext.broadcast(to_rank)  # at most 65,536 entries
+    # one row a shuffle partition
+    sizes = sorted((r.part, r.n) for r in blocks.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
+    begins, before = {}, 0
+    for part, n in sizes:
+        begins[part], before = before, before + n
+    shared = spark.sparkContext.broadcast((to_rank, begins))  # at most 65,536 entries, and a number a partition
 
     @tidy
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank, begin = shared.value
         for batch in batches:
             for r in batch.to_pylist():
-                ids = shared.value[np.frombuffer(r["ids"], "<u2")]
+                ids = rank[np.frombuffer(r["ids"], "<u2")]
                 control, data = pack(ids)
-                head = np.array([len(r["nulls"]), len(ids), len(control), len(data)], "<u8").tobytes()
+                head = np.array([r["n_docs"], len(ids), len(control), len(data), begin[r["part"]] + r["inner"]], "<u8").tobytes()
                 blob = b"".join([MAGIC, head, r["doc_ids"], r["nulls"], r["counts"], control, data])
-                yield pa.RecordBatch.from_arrays([pa.array([f"{r['part']:06d}-{r['seq']:06d}"]), pa.array([blob], pa.binary())], names=["shard", "value"])
+                yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["value"])
 
-    # Spark's text writer puts down the bytes of a column as they are, one row a file and a line
-    # break, on any file system and with its commit protocol: a task that is run twice leaves one file
-    files = shards.select("part", "seq", "doc_ids", "nulls", "counts", "ids").transform(map_batches, code, "shard string, value binary")
-    files.select("shard", F.col("value").cast("string")).write.partitionBy("shard").option("compression", "none").text(f"{path}/shards")
+    # Spark's text writer puts down the bytes of a column as they are (a cast of binary changes and checks
+    # none), a line break after each row, on any file system and with its commit protocol: a task that is
+    # run twice leaves one file
+    files = blocks.select("part", "inner", "n_docs", "doc_ids", "nulls", "counts", "ids").transform(map_batches, code, "value binary")
+    text = files.select(F.col("value").cast("string")).write.option("compression", "none").option("maxRecordsPerFile", FILE_BLOCKS)
+    text.text(f"{path}/blocks")
 
 
-def decode(blob: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """doc ids, null flags, lengths, and ids of a file."""
-    if blob[:8] != MAGIC:
-        raise ValueError("not a token file")
-    n, m, c, d = map(int, np.frombuffer(blob, "<u8", 4, 8))
-    at = 40
-    doc_ids = np.frombuffer(blob, "<i8", n, at)
-    nulls = np.frombuffer(blob, np.uint8, n, at + 8 * n)
-    counts = np.frombuffer(blob, "<i8", n, at + 9 * n)
-    at += 17 * n
-    return doc_ids, nulls, counts, table[unpack(blob[at : at + c], blob[at + c : at + c + d], m)]
+def decode(blob, table: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each block of a file: its first id's number, doc ids, null flags, lengths, and ids."""
+    at, view = 0, memoryview(blob)
+    while at < len(view):
+        if view[at : at + 8] != MAGIC:
+            raise ValueError("not a token file")
+        n, m, c, d, start = map(int, np.frombuffer(view, "<u8", 5, at + 8))
+        at += 48
+        doc_ids = np.frombuffer(view, "<i8", n, at)
+        nulls = np.frombuffer(view, np.uint8, n, at + 8 * n)
+        counts = np.frombuffer(view, "<i8", n, at + 9 * n)
+        at += 17 * n
+        yield start, doc_ids, nulls, counts, table[unpack(view[at : at + c], view[at + c : at + c + d], m)]
+        at += c + d + 1  # the line break
 
 
-_READ = "shard string, k int, doc_id long, inner long, n_tokens long, ids_crc32 long"
+_READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """What the files hold, one row a document: ``doc_id, start, n_tokens, ids_crc32``.
 
-    ``start`` counts the ids of all documents before it: in the file, and in the files before.
+    ``start`` counts the ids of all documents before it. Each file is read once and on its own.
     """
     table = np.zeros(1 << 16, np.uint32)
     for r in spark.read.parquet(f"{path}/ranks").collect():  # one row a vocabulary entry
@@ -341,44 +238,22 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                doc_ids, nulls, counts, ids = decode(blob.as_py(), shared.value)
-                raw = memoryview(ids.astype("<u4").tobytes())
-                ends = np.cumsum(counts)
-                crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for n, e in zip(counts.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name] * len(counts)), pa.array(np.arange(len(counts), dtype=np.int32)),
-                        pa.array(doc_ids, mask=nulls.astype(bool)), pa.array(ends - counts), pa.array(counts), pa.array(crc, pa.int64()),
-                    ],
-                    names=[x.split()[0] for x in _READ.split(", ")],
-                )
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/shards")
-    blobs = files.select(F.regexp_extract("path", r"shard=([0-9-]+)/part", 1).alias("shard"), "content").where("shard <> ''")
-    docs = blobs.transform(map_batches, run, _READ)
-
-    @tidy
-    def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = [int(np.frombuffer(h.as_py(), "<u8", 1, 16)[0]) for h in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["shard", "n"])
-
-    # the number of ids stands in a file's first bytes
-    sizes = blobs.select("shard", F.substring("content", 1, 40)).transform(map_batches, size, "shard string, n long")
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
-    begins = sizes.select(F.col("shard").alias("__shard"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
-    return docs.join(begins, F.col("shard") == F.col("__shard")).select(
-        "doc_id", (F.col("begin") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32"
-    )
+            for blob in batch.column(0):
+                for start, doc_ids, nulls, counts, ids in decode(blob.as_buffer(), shared.value):
+                    raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                    ends = np.cumsum(counts)
+                    crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for n, e in zip(counts.tolist(), ends.tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(doc_ids, mask=nulls.astype(bool)), pa.array(ends - counts + start), pa.array(counts), pa.array(crc, pa.int64())],
+                        names=[x.split()[0] for x in _READ.split(", ")],
+                    )
 
+    return spark.read.format("binaryFile").load(f"{path}/blocks").select("content").transform(map_batches, run, _READ)
 
-def token_files(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int = 0, memo_pieces: int = MEMO_PIECES) -> str:
-    """Encode ``docs`` and write the files; returns where they are.
 
-    ``memo_pieces`` trades a worker's memory for encoding time and changes no result.
-    """
+def token_files(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int = 0) -> str:
+    """Encode ``docs`` and write the files; returns where they are."""
     path = path or new_path(docs.sparkSession, "token-files")
-    shards = encode(docs, tokenizer, end_id, memo_pieces=memo_pieces)
-    write(shards, ranks(shards), path)
+    blocks = encode(docs, tokenizer, end_id)
+    write(blocks, ranks(blocks), path)
     return path

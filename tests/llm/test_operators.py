@@ -29,14 +29,36 @@ def test_number_coding_round_trip(seed):
     assert (token_files.unpack(*token_files.pack(v), len(v)) == v).all()
 
 
-def test_encoder_is_the_library(words):
+PIECES = ["a", "the", " ", "  ", "\n", "\t", "\r\n", "'s", "'re", "'", "''", "'ll", "don't", "é", "ß", "日本", "、", "—", "“", "1", "23", "½", "٣", ".", ",", "!!", "_", "\x00", "\x1c", "\x85", "\xa0", "\u3000", "\u200b", "😀", "e\u0301", "'S", "'d", "'ve", "x'tis", "aaaaaaa", "<|endoftext|>", "ſ", "ǅ", "\ufeff", "Ⅷ", "²"]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_encoder_is_the_library(words, seed):
+    import random
+
+    from tokenizers import Tokenizer
+
+    r = random.Random(seed)
+    path = tokenizer_path("byte_bpe_50k.json")
+    texts = [words(n, n) for n in range(1, 40)] + ["", " a", "a  b", "a\n\nb ", "x<|endoftext|>y", "é日本　z", "it's 3.14,ok", "a \nb", "\n", "A.\nB, c", "x" * 5000, "ab" * 999 + "'", None]
+    plain = [x for x in PIECES if all(c < "\x7f" for c in x) and "<" not in x and min(x) > "\x08"]
+    texts += ["".join(r.choice(plain if k % 2 else PIECES) for _ in range(r.randint(0, 30))) for k in range(3000)]
+    r.shuffle(texts)
+    want = [x.ids for x in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    ids, counts = token_files.Encoder(path).encode(pa.array(texts))
+    ends = np.cumsum(counts)
+    got = [ids[e - n : e].tolist() for e, n in zip(ends, counts)]
+    assert [t for t, x, y in zip(texts, got, want) if x != y] == []
+
+
+def test_every_letter_is_cut_as_by_the_library():
     from tokenizers import Tokenizer
 
     path = tokenizer_path("byte_bpe_50k.json")
-    texts = [words(n, n) for n in range(1, 40)] + ["", " a", "a  b", "a\n\nb ", "x<|endoftext|>y", "é日本　z", "it's 3.14,ok", "a \nb", "\n", "A.\nB, c"]
+    texts = [f"a{c}1 {c}{c}\n{c}'s" for k in [*range(0xD800), *range(0xE000, 0x10400)] if (c := chr(k))]
     want = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
-    for got in (token_files.Encoder(path).encode(texts),):
-        assert [list(np.frombuffer(x, "<u2")) for x in got] == [x.ids for x in want]
+    ids, counts = token_files.Encoder(path).encode(pa.array(texts))
+    assert counts.tolist() == [len(x.ids) for x in want] and ids.tolist() == [i for x in want for i in x.ids]
 
 
 def test_token_files(spark, frame, edges, words):
