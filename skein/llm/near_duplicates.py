@@ -49,8 +49,11 @@ from skein.llm.workers import map_batches, tidy, trim
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 5
-#: Up to so many texts, a bucket's pairs become rows; larger buckets are compared in blocks of BLOCK texts.
-SMALL, BLOCK = 12, 1024
+#: Texts that are signed at once: each takes about 900 points.
+SIGN_ROWS = 400
+#: Up to so many texts, a bucket's pairs become rows; larger buckets are compared in blocks of
+#: about BLOCK texts and BLOCK_WORDS shingles, or one text.
+SMALL, BLOCK, BLOCK_WORDS = 12, 1024, 250_000
 #: Ids that may be broadcast to select rows of the input: 8 bytes each.
 BROADCAST_IDS = 4_000_000
 
@@ -155,7 +158,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, rows=SIGN_ROWS):
                 texts = Texts(part.column(1))
                 starts, ends, bounds = texts.spans(SPACE)
                 words = texts.span_hash(starts, ends)
@@ -278,8 +281,8 @@ def links(docs: DataFrame, signed: DataFrame, kinds: DataFrame, threshold: float
     found = [written(verified(tried, pool, threshold), "near-links")]
     root = components(found[0])
     rooted = ranked.join(root, "doc", "left").select("bucket", "doc", "n", F.coalesce("root", "doc").alias("root"))
-    open_ = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members")).where("x <> y")
-    members = written(rooted.join(open_.select("bucket", "members"), "bucket"), "near-open")
+    open_ = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members"), F.sum("n").alias("words")).where("x <> y")
+    members = written(rooted.join(open_.select("bucket", "members", "words"), "bucket"), "near-open")
     # small buckets: every pair of different classes, once; there are at most SMALL / 2 a member
     small = members.where(F.col("members") <= SMALL)
     x, y = small.alias("x"), small.alias("y")
@@ -294,11 +297,11 @@ def links(docs: DataFrame, signed: DataFrame, kinds: DataFrame, threshold: float
 def blockwise(members: DataFrame, pool: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Links between classes inside large buckets, without a row for each pair.
 
-    A bucket is dealt into blocks of about ``BLOCK`` texts, and each task holds two
+    A bucket is dealt into blocks of bounded size, and each task holds two
     of them (or the one there is), finds all overlaps of a text with the block by
     its shingles' posting lists, and returns only links that join classes.
     """
-    n_blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("long")
+    n_blocks = F.ceil(F.greatest(F.col("members") / F.lit(BLOCK), F.col("words") / F.lit(BLOCK_WORDS))).cast("long")
     dealt = members.withColumn("n_blocks", n_blocks).withColumn("own", F.pmod(F.xxhash64("doc"), "n_blocks"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
     dealt = dealt.where("own <> other OR n_blocks = 1").select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc", "root")

@@ -160,8 +160,8 @@ def per_text(n: int, owner: np.ndarray, values: np.ndarray | None = None) -> np.
     return c[b[1:]] - c[b[:-1]]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """``batch`` in pieces of about ``limit`` bytes of text, or one row."""
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of about ``limit`` bytes of text and at most ``rows`` rows, or one row."""
     n = batch.num_rows
     if n == 0:
         return
@@ -171,6 +171,6 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
     at = 0
     while at < n:
         base = total[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(total, base + limit, "right")))
+        to = min(at + rows, max(at + 1, int(np.searchsorted(total, base + limit, "right"))))
         yield batch.slice(at, to - at)
         at = to
