@@ -42,7 +42,7 @@ MAGIC = b"SKTOKEN2"
 #: Ids of a block (or those of one slice of texts beyond), and blocks of a file: about 50 MB.
 BLOCK_TOKENS, FILE_BLOCKS = 2_000_000, 16
 #: Bytes of text encoded at once, or one text.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 # -- the number coding ------------------------------------------------------
