@@ -14,9 +14,11 @@ Plan: leaves are counted first, with partial sums, and only lines of leaves with
 reduced to different lines with counts before tokens are exploded, so a line
 that holds a third of all rows is one row from there on, and documents are
 counted by (template, document) pairs, so a hot template is spread. Hot rows
-meet only in joins with one row a key on the other side, which Spark may split.
+meet only in joins with one row a key on the other side, read from files, which Spark may split.
+A leaf's constants are a list by place, so the work on a line grows with its length.
 
-Defined cases: a null or empty text has no lines; blank lines are never dropped;
+Defined cases: a null or empty text has no lines; blank lines are never dropped; texts
+and lines of any length are worked on whole;
 rows of equal id count as one document in a template's count, and each row gets its own result.
 """
 
@@ -92,26 +94,23 @@ def templates(docs: DataFrame, rules: TemplateRules = TemplateRules()) -> tuple[
     some = keyed.join(F.broadcast(shared) if few else shared, "leaf_key", "left_semi")
     hot = written(some.select("doc_id", "line_no", "leaf", _text(F.col("line"), rules).alias("line")), "template-lines")
     different = hot.groupBy("leaf", "line").agg(F.count("*").alias("n")).withColumn("tokens", F.split("line", " "))
-    sizes = different.groupBy("leaf").agg(F.count("*").alias("n_lines"))
     placed = different.select("leaf", F.posexplode("tokens").alias("pos", "token"))
     support = placed.groupBy("leaf", "pos", "token").agg(F.count("*").alias("n"))
-    constants = (
-        support.join(sizes, "leaf")
-        .where(F.col("n") >= rules.constant_share * F.col("n_lines"))
-        .groupBy("leaf")
-        .agg(F.collect_set(F.concat_ws(" ", F.col("pos").cast("string"), "token")).alias("constants"))
-    )  # a leaf has at most tokens / constant_share constants
-    known = different.join(constants, "leaf", "left")
-    fixed = F.transform("tokens", lambda t, k: F.array_contains("constants", F.concat_ws(" ", k.cast("string"), t)) & (t != FIELD))
+    often = F.when(F.col("n") >= rules.constant_share * F.col("n_lines"), F.col("token"))
+    sizes = placed.groupBy("leaf", "pos").agg(F.count("*").alias("n_lines"))  # each of a leaf's lines has one token at each place
+    by_place = support.join(sizes, ["leaf", "pos"]).groupBy("leaf", "pos").agg(F.collect_set(often).alias("tokens"))  # at most 1 / constant_share
+    constants = by_place.groupBy("leaf").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "tokens"))), lambda x: x["tokens"]).alias("constants"))
+    known = different.join(written(constants, "template-constants"), "leaf")
+    fixed = F.transform("tokens", lambda t, k: F.array_contains(F.get("constants", k), t) & (t != FIELD))
     share = F.size(F.filter("fixed", lambda x: x))
     general = F.zip_with("tokens", "fixed", lambda t, f: F.when(f, t).otherwise(F.lit(FIELD)))
     template = F.when(share >= rules.similarity * F.size("tokens"), F.array_join(general, " ")).otherwise(F.col("line"))
-    by_line = known.withColumn("fixed", fixed).select("leaf", "line", template.alias("template"))
+    by_line = written(known.withColumn("fixed", fixed).select("leaf", "line", template.alias("template")), "template-of-line")
     matched = written(hot.join(by_line, ["leaf", "line"]).select("doc_id", "line_no", "template"), "template-matches")
     recurring = (
         matched.select("template", "doc_id").distinct().groupBy("template").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= rules.min_docs)
     )
-    return matched, recurring
+    return matched, written(recurring, "template-recurring")
 
 
 def dropped_lines(docs: DataFrame, rules: TemplateRules = TemplateRules()) -> DataFrame:
@@ -144,10 +143,7 @@ def without_templates(docs: DataFrame, rules: TemplateRules = TemplateRules()) -
 
 
 def oracle_sql(rules: TemplateRules = TemplateRules()) -> str:
-    """The rows from DuckDB: templates are compared as texts there too.
-
-    It sees lines of ``min_tokens`` or more only; the query drops recurring shorter ones besides.
-    """
+    """The rows from DuckDB: templates are compared as texts there too."""
     return f"""
 WITH cut AS (
   SELECT doc_id, unnest(generate_series(1, len(string_split(text, chr(10))))) AS line_no,
@@ -155,10 +151,17 @@ WITH cut AS (
   FROM documents WHERE text IS NOT NULL),
 tokened AS (
   SELECT doc_id, line_no, string_split_regex(regexp_replace(raw, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'), '[\\x20\\x09-\\x0D]+') AS t FROM cut),
+masked AS (
+  SELECT doc_id, line_no, t, list_transform(t, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END) AS m
+  FROM tokened WHERE t <> ['']),
 lines AS (
-  SELECT doc_id, line_no, list_transform(t, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END) AS tokens
-  FROM tokened WHERE len(t) >= {rules.min_tokens}),
-keyed AS (SELECT *, concat_ws(' ', len(tokens), array_to_string(tokens[1:{rules.depth}], ' ')) AS leaf, array_to_string(tokens, ' ') AS line FROM lines),
+  SELECT doc_id, line_no,
+         CASE WHEN len(t) < {rules.min_tokens} AND replace(replace(array_to_string(m, ' '), '{FIELD}', ''), ' ', '') = '' THEN t ELSE m END AS tokens
+  FROM masked),
+keyed AS (
+  SELECT *, concat_ws(' ', len(tokens), array_to_string(tokens[1:CASE WHEN len(tokens) < {rules.min_tokens} THEN len(tokens) ELSE {rules.depth} END], ' ')) AS leaf,
+         array_to_string(tokens, ' ') AS line
+  FROM lines),
 hot AS (SELECT * FROM keyed WHERE leaf IN (SELECT leaf FROM keyed GROUP BY leaf HAVING count(*) >= {rules.min_docs})),
 different AS (SELECT leaf, line, any_value(tokens) AS tokens FROM hot GROUP BY leaf, line),
 placed AS (SELECT leaf, line, unnest(tokens) AS token, unnest(generate_series(1, len(tokens))) AS pos FROM different),
