@@ -8,13 +8,16 @@ that document has. A source whose target exceeds its size goes
 round its queue again, at most ``max_repeats`` times in all.
 
 No source, however large, meets in one task: positions in a queue come from sums
-over fixed hash buckets of a source (their number grows with the source) and a
-window inside a bucket, and the cut by the budget from sums over bins of virtual
-time and an order inside the one bin in which the budget runs out.
+over ranges of the shuffling hash (their number grows with the source) and a
+window inside a range, and the cut by the budget from sums over bins of virtual
+time and an order inside the one bin in which the budget runs out. Rows are counted
+by id, source and text first, and copies of one row are dealt out by their number.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
-last in order; documents of size 0 are never taken; equal ids are ordered by
-their size; with no words at all every target is 0.
+last in order; documents of size 0 are never taken, whole texts of any length are; rows of equal id,
+source and text are as many documents, which :func:`mixed_documents` cannot tell
+apart; rows of null id are shuffled by their texts; with no words at all every target is 0, and an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Rows that one bucket of a source holds on average, and the least number of buckets.
 BUCKET_ROWS, LEAST_BUCKETS = 20_000, 32
+#: Sources whose targets may be broadcast (about 60 bytes each), and that may stand on the driver (about 300 bytes each).
+BROADCAST_SOURCES, MOST_SOURCES = 100_000, 2_000_000
 #: Bins of virtual time: 2**20 over one unit.
 TIME_BINS = 1 << 20
 
@@ -59,19 +64,30 @@ def targets(sizes: list[tuple[str | None, int]], share: float, max_repeats: int,
     return out
 
 
+def _digits(text: Column) -> Column:
+    """A number below 2**60 from the md5 of a text."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def _same(text: Column) -> Column:
+    """Tells rows of one id and source with other texts apart; -1 for null."""
+    return F.coalesce(_digits(text.cast("string")), F.lit(-1).cast("long"))
+
+
 def mix(docs: DataFrame, share: float = 1.0, max_repeats: int = 3, seed: int = 0, weights=WEIGHTS) -> DataFrame:
-    """``doc_id, size, source, source_size, target, n_taken``: one row for every row of ``docs``.
+    """``doc_id, size, source, t, source_size, target, n_taken``: one row for every row of ``docs``.
 
-    ``n_taken`` is how often the mix takes the row. Reruns agree: the shuffle is a
-    hash of ``seed`` and the id.
+    ``n_taken`` is how often the mix takes the row; ``t`` stands for the text. Reruns agree: the shuffle is a
+    hash of ``seed``, the id, the text, and the number of the copy.
     """
     spark = docs.sparkSession
-    shuffled = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    sized = written(
-        docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words(F.col("text")).alias("size")),
-        "mix-sizes",
-    )
-    per_source = [(r.source, r.size, r.n) for r in sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()]
+    kinds = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words(F.col("text")).alias("size"), _same(F.col("text")).alias("t"))
+    sized = written(kinds.groupBy("doc_id", "source", "size", "t").agg(F.count("*").alias("m")), "mix-sizes")
+    by_source = written(sized.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("size"), F.sum("m").alias("n")), "mix-sources")
+    n_sources = by_source.count()
+    if n_sources > MOST_SOURCES:
+        raise ValueError(f"{n_sources} sources; at most {MOST_SOURCES} can be mixed")
+    per_source = [(r.source, r.size, r.n) for r in by_source.collect()]
     goal = targets([(s, n) for s, n, _ in per_source], share, max_repeats, weights)
     # one row a source: (source, its words, its target, its number of buckets)
     table = spark.createDataFrame(
@@ -79,20 +95,24 @@ def mix(docs: DataFrame, share: float = 1.0, max_repeats: int = 3, seed: int = 0
         "source string, source_size long, target double, n_buckets long",
     )
     key = F.col("d.source").eqNullSafe(F.col("t.source"))
-    rows = sized.alias("d").join(F.broadcast(table.alias("t")), key).select(
-        "d.doc_id", "d.source", "size", "source_size", "target", shuffled.alias("h"), F.pmod(shuffled, "n_buckets").alias("bucket")
-    )
+    each = sized.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
+    named = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("t").cast("string"), F.col("copy").cast("string"))
+    hashed = each.withColumn("h", _digits(named))
+    joined = hashed.alias("d").join(F.broadcast(table.alias("t")) if n_sources <= BROADCAST_SOURCES else table.alias("t"), key)
+    # ranges of the hash, so that a queue's order is that of the hash
+    bucket = F.shiftright(F.shiftright("h", 30) * F.col("n_buckets"), 30)
+    rows = joined.select("d.doc_id", "d.source", "size", "d.t", "source_size", "target", "h", bucket.alias("bucket"))
     # where every bucket of a queue begins: one row a bucket
     by_bucket = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     begin = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")).select(
         "source", "bucket", F.coalesce(F.sum("words").over(by_bucket), F.lit(0)).alias("begin")
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size", "t").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
         rows.withColumn("upto", F.sum("size").over(inside))
         .alias("a")
         .join(begin.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.bucket") == F.col("b.bucket")))
-        .select("a.doc_id", "a.source", "size", "source_size", "target", "h", (F.col("begin") + F.col("upto")).alias("sent"))
+        .select("a.doc_id", "a.source", "size", "t", "source_size", "target", "h", (F.col("begin") + F.col("upto")).alias("sent"))
     )
     placed = written(placed, "mix-queues")
     budget = int(round(share * sum(n for _, n, _ in per_source)))
@@ -122,7 +142,7 @@ def mix(docs: DataFrame, share: float = 1.0, max_repeats: int = 3, seed: int = 0
     a, b = placed.alias("a"), counts.alias("b")
     same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.sent") == F.col("b.sent")) & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("size") > 0)
     return a.join(b, same, "left").select(
-        "a.doc_id", "size", "a.source", "source_size", "target", F.coalesce("n_taken", F.lit(0)).cast("int").alias("n_taken")
+        "a.doc_id", "size", "a.source", "t", "source_size", "target", F.coalesce("n_taken", F.lit(0)).cast("int").alias("n_taken")
     )
 
 
@@ -146,8 +166,53 @@ def _last_bin(sends: DataFrame, budget: int, last: int) -> tuple[int, int]:
 
 
 def mixed_documents(docs: DataFrame, share: float = 1.0, max_repeats: int = 3, seed: int = 0) -> DataFrame:
-    """The rows of ``docs`` as the mix takes them, a row twice where it is taken twice."""
-    taken = mix(docs, share, max_repeats, seed).where("n_taken > 0").groupBy("doc_id", "source", "size").agg(F.max("n_taken").alias("__n"))
-    d, t = docs.alias("d"), taken.alias("t")
-    on = F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source")) & (words(F.col("d.text")) == F.col("t.size"))
-    return d.join(t, on).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n")))).select("d.*")
+    """The rows of ``docs`` as the mix takes them, a row twice where it is taken twice.
+
+    Of rows with equal id, source and text the first that is met stands for all, as often as the mix takes them together.
+    """
+    taken = mix(docs, share, max_repeats, seed).groupBy("doc_id", "source", "t").agg(F.sum("n_taken").alias("__n"), F.count("*").alias("__m")).where("__n > 0")
+    taken = written(taken.select(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("t").alias("__u"), "__n", "__m"), "mix-taken")
+    keyed = docs.withColumn("__t", _same(F.col("text")))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__d")) & F.col("source").cast("string").eqNullSafe(F.col("__s")) & (F.col("__t") == F.col("__u"))
+    rows = keyed.join(taken, on)
+    if not taken.where("__m > 1").isEmpty():
+        rows = rows.where("__m = 1").unionByName(rows.where("__m > 1").dropDuplicates(["__d", "__s", "__u"]))
+    return rows.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n")))).select(*docs.columns)
+
+
+def oracle_sql(max_repeats: int = 3, seed: int = 0, weights=WEIGHTS) -> str:
+    """The query's rows from DuckDB: one order of all sends, for a table of unlike rows and the whole budget."""
+    weight = " ".join(f"WHEN {k} THEN {w}" for k, w in enumerate(weights))
+    return f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         coalesce(('0x' || substr(md5(text), 1, 15))::BIGINT, -1) AS t
+  FROM documents),
+queue AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size, t ROWS UNBOUNDED PRECEDING) AS sent
+  FROM (SELECT *, ('0x' || substr(md5(concat_ws(':', '{seed}', coalesce(doc_id::VARCHAR, ''), t, '1')), 1, 15))::BIGINT AS h FROM docs)),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, {max_repeats}.0::DOUBLE * sum(size) AS cap,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(weights)} {weight} END::DOUBLE AS w
+  FROM docs GROUP BY source),
+fill AS (
+  SELECT *, 0 AS step, (sum(source_size) OVER ())::DOUBLE AS rest, false AS held FROM sources
+  UNION ALL
+  SELECT source, source_size, cap, w, step + 1, rest - sum(CASE WHEN over THEN cap ELSE 0 END) OVER (), held OR over
+  FROM (
+    SELECT *, bool_or(over) OVER () AS more
+    FROM (SELECT *, NOT held AND rest * w / sum(CASE WHEN held THEN 0 ELSE w END) OVER () > cap AS over FROM fill))
+  WHERE more),
+goal AS (
+  SELECT source, source_size, CASE WHEN held THEN cap ELSE rest * w / sum(CASE WHEN held THEN 0 ELSE w END) OVER () END AS target
+  FROM fill WHERE step = (SELECT max(step) FROM fill)),
+sends AS (
+  SELECT q.*, g.source_size, g.target, r, (r * g.source_size + q.sent)::DOUBLE / g.target AS finish
+  FROM queue q JOIN goal g ON q.source IS NOT DISTINCT FROM g.source, range({max_repeats}) x(r) WHERE size > 0 AND g.target > 0),
+gone AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, source NULLS FIRST, h, doc_id NULLS FIRST, r ROWS UNBOUNDED PRECEDING) AS upto FROM sends),
+taken AS (
+  SELECT doc_id, source, t, count(*) AS n FROM gone WHERE upto <= (SELECT sum(size) FROM docs) GROUP BY ALL)
+SELECT q.doc_id, q.size::BIGINT AS size, g.source_size, g.target, (q.size * coalesce(k.n, 0))::BIGINT AS taken
+FROM queue q JOIN goal g ON q.source IS NOT DISTINCT FROM g.source
+LEFT JOIN taken k ON q.doc_id IS NOT DISTINCT FROM k.doc_id AND q.source IS NOT DISTINCT FROM k.source AND q.t = k.t"""
