@@ -6,7 +6,7 @@ goes that way, if too few words are left, or if the base rules on the whole
 text fail. All of it is per document: no shuffle, and memory follows one slice
 of a batch.
 
-Defined cases: a null text counts as empty; an empty text has zero counts and
+Defined cases: a null text counts as empty; texts of any length are judged whole; an empty text has zero counts and
 fails the base rules; rows with equal ids are judged one by one; further columns
 pass through :func:`clean` untouched.
 """
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from skein.llm.textarrays import SPACE, Texts, grams, mix, owners, per_text, slices
 from skein.llm.workers import map_batches, tidy
 
-#: Phrases of page furniture, matched in lower case.
+#: Phrases and marks of page furniture in English, French, German and Spanish; ASCII letters match in either case.
 BOILERPLATE = (
     "accept cookies",
     "all rights reserved",
@@ -39,6 +39,25 @@ BOILERPLATE = (
     "skip to content",
     "terms of service",
     "terms of use",
+    "accepter les cookies",
+    "cliquez ici",
+    "conditions d'utilisation",
+    "mentions légales",
+    "politique de confidentialité",
+    "tous droits réservés",
+    "alle rechte vorbehalten",
+    "cookies akzeptieren",
+    "datenschutzerklärung",
+    "hier klicken",
+    "impressum",
+    "nutzungsbedingungen",
+    "aceptar cookies",
+    "aviso legal",
+    "haga clic aquí",
+    "política de privacidad",
+    "términos de uso",
+    "todos los derechos reservados",
+    "©",
 )
 
 _SYMBOL = np.zeros(256, bool)
@@ -208,3 +227,44 @@ def clean(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "te
 
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType, True) for f in docs.schema])
     return docs.transform(map_batches, run, schema)
+
+
+def oracle_sql(rules: QualityRules = QualityRules()) -> str:
+    """The rows of :func:`score` from DuckDB, the verdict of the line rules included."""
+    phrases = " OR ".join("contains(low, '{}')".format(p.replace("'", "''")) for p in BOILERPLATE)
+    tail = "".join(_CLOSING_TAIL)
+    word = "[^\\x20\\x09-\\x0D]+"
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
+words AS (SELECT r, text, regexp_extract_all(text, '{word}') AS w FROM docs),
+windows AS (
+  SELECT r, unnest(generate_series(1, len(w) - {rules.window - 1})) AS i, unnest(list_transform(generate_series(1, len(w) - {rules.window - 1}), lambda i: list_slice(w, i, i + {rules.window - 1}))) AS g
+  FROM words WHERE len(w) >= {rules.window}),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(generate_series(i, i + {rules.window - 1})) AS p FROM twice) GROUP BY r),
+lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
+judged AS (
+  SELECT *, len(w) AS n, list_sum(list_transform(w, lambda x: length(x))) AS chars,
+         len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols, len(regexp_extract_all(line, '[!?]')) AS shouts, len(regexp_extract_all(line, '[|>/\\\\=~^]')) AS links,
+         regexp_matches(w[-1], '[].!?:;"'')}}{tail}]$') AS closed,
+         translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+         len(list_filter(generate_series(2, len(w)), lambda i: w[i] = w[i - 1])) AS stutter
+  FROM (SELECT r, line, regexp_extract_all(line, '{word}') AS w FROM lines) WHERE len(w) > 0),
+marked AS (
+  SELECT *, (NOT closed AND n < {rules.open_line_words}) OR symbols > {rules.max_symbols_per_word}::DOUBLE * n
+            OR shouts > greatest(1, {rules.max_shouts_per_word}::DOUBLE * n) OR (links >= 3 AND links > {rules.max_links_per_word}::DOUBLE * n)
+            OR (n <= {rules.boilerplate_words} AND ({phrases})) OR (n >= {rules.open_line_words} AND stutter > {rules.max_stutter}::DOUBLE * n) AS bad
+  FROM judged),
+by_doc AS (
+  SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dup, count(*) FILTER (bad) AS n_bad,
+         coalesce(sum(chars) FILTER (NOT bad), 0) AS kept_chars, coalesce(sum(n) FILTER (NOT bad), 0) AS kept_words
+  FROM marked GROUP BY r),
+base AS (
+  SELECT d.doc_id, len(w.w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w.w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(d.text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(b.dup, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(b.n_lines, 0)::BIGINT AS n_lines, coalesce(b.n_bad, 0)::BIGINT AS n_bad_lines, coalesce(b.kept_chars, 0) AS kept_chars, coalesce(b.kept_words, 0)::BIGINT AS kept_words
+  FROM docs d JOIN words w USING (r) LEFT JOIN covered c USING (r) LEFT JOIN by_doc b USING (r)),
+failed AS (SELECT *, n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND kept_chars >= {rules.min_kept}::DOUBLE * word_chars AND kept_words >= {rules.min_kept_words} AS kept, n_lines, n_bad_lines, kept_words
+FROM failed"""

@@ -88,4 +88,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_templates": line_templates.oracle_sql(), "op9_mixing": mixing.oracle_sql(), "op10_substrings": substring.oracle_sql()}
+    return {"op5_quality": quality.oracle_sql(), "op8_line_templates": line_templates.oracle_sql(), "op9_mixing": mixing.oracle_sql(), "op10_substrings": substring.oracle_sql()}

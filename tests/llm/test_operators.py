@@ -307,6 +307,26 @@ def test_quality(frame, edges, words):
     assert quality.score(frame([])).count() == 0
 
 
+def test_quality_is_that_of_the_sql(spark, frame, edges, words, tmp_path):
+    import random
+
+    import duckdb
+
+    r = random.Random(4)
+    odd = ["Home | About | Contact", "a > b > c / d", "BUY NOW!!! REALLY?? YES!!", "$$$ ### ||| %%%", "no closing mark", "key key key key word word.", "Tous droits réservés, ici et partout.", "© 2020 Ürün", "Impressum", "He said: “yes”", "終わり。", "See our PRIVACY POLICY.", "one two three four five six", "", " \t ", "it ends;"]
+    data = [(k, "\n".join(r.choice(odd) if r.random() < q else words(r.randint(1, 30), 50 * k + j) for j in range(r.randint(1, 14)))) for k in range(300) for q in [k % 5 / 4]]
+    data += [(400 + k, (words(8, k) + " ") * (k + 1)) for k in range(6)]
+    docs = frame([e for e in edges if e[0] != 5] + data, extra=True)
+    docs.write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    names = quality._NAMES
+    want = con.execute(f"select {', '.join(names)} from ({quality.oracle_sql()})").fetchall()
+    got = rows(quality.score(docs))
+    assert {True, False} == {g["kept"] for g in got if not g["base_failed"]}
+    assert sorted(str(tuple(g[k] for k in names)) for g in got) == sorted(map(str, want))
+
+
 # -- op6 -------------------------------------------------------------------------
 
 
