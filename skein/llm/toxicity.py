@@ -18,7 +18,8 @@ executors is the classifier: at most ``SampleBounds.features`` weights.
 Defined cases: null and empty texts get the score of no evidence; labels that
 are null, or whose document is missing, are not used; a document labelled twice
 counts by its highest label; without labels of both classes the score is the
-share of class 1 (0 without labels).
+share of class 1 (0 without labels); a null id is in no held-out fold and is never
+trained on; rows of equal id, and texts of any length, are scored one by one, whole.
 """
 
 from __future__ import annotations
@@ -197,8 +198,8 @@ def _logistic(x: np.ndarray, q: np.ndarray, weight: np.ndarray, l2: float = 2e-6
 
 
 def fold(doc_id) -> F.Column:
-    """crc32(doc_id as text) mod 4."""
-    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))
+    """crc32(doc_id as text) mod 4; -1 for a null id."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)), F.lit(-1))
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out: int = 2, bounds: SampleBounds = SampleBounds()) -> Classifier:

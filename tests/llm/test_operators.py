@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from skein.llm import decontamination, line_templates, mixing, near_duplicates, pii, quality, token_counts, token_files, toxicity
 from skein.llm.queries import tokenizer_path
@@ -189,6 +190,21 @@ def test_label_model_discounts_repeated_voters():
     assert m.share[:3].max() < 0.4 and m.share[:3].max() < m.share[3]
 
 
+def test_scores_against_brute_force(words):
+    model, _ = toxicity.train(pa.array([t for _, t, _ in _toxic_rows(words, 300)]), np.array([y for *_, y in _toxic_rows(words, 300)], float), 0.25)
+    texts = [t for _, t, _ in _toxic_rows(words, 80)] + ["", None, "SCUMBAGX!", "scumb"]
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    for text, got in zip(texts, model.score(pa.array(texts))):
+        _, found, _ = toxicity.evidence(pa.array([text]))
+        z = model.intercept + sum(weight.get(f, 0.0) for f in set(found.tolist()))
+        assert got == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_folds_of_null_ids(spark, frame):
+    got = frame([(None, "a"), (1, "b"), (6, "c")]).select("doc_id", (toxicity.fold(F.col("doc_id")) == 2).alias("held_out")).collect()
+    assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+
+
 # -- op4 -------------------------------------------------------------------------
 
 
