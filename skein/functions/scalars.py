@@ -45,13 +45,13 @@ def clip(x: Column, low: float, high: float) -> Column:
 
 
 def finite(x: Column) -> Column:
-    """Nulls, NaN and infinities become 0."""
-    d = x.cast("double")
+    """Nulls, NaN, infinities, and texts that are no numbers become 0."""
+    d = x.try_cast("double")
     return F.when(d.isNull() | F.isnan(d) | (F.abs(d) == float("inf")), F.lit(0.0)).otherwise(d)
 
 
 def is_non_finite(x: Column) -> Column:
-    d = x.cast("double")
+    d = x.try_cast("double")
     return d.isNull() | F.isnan(d) | (F.abs(d) == float("inf"))
 
 

@@ -8,6 +8,8 @@ the shuffle.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,15 +23,17 @@ def of_items(log: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def labels(rows: DataFrame, target: str) -> DataFrame:
-    """Pairs bought on the target day."""
-    return rows.where((day(F.col("time")) == target) & (F.col("behavior_type") == PURCHASE)).select("user_id", "item_id").distinct()
+    """Pairs bought on the target day; a prefix of the time reaches the scan, a function of it does not."""
+    return rows.where(F.col("time").startswith(target) & (F.col("behavior_type") == PURCHASE)).select("user_id", "item_id").distinct()
 
 
 def history(rows: DataFrame, target: str, lookback: int = 14) -> DataFrame:
-    """The rows before the target day, with ``days`` and ``gap`` to it."""
-    date = day(F.col("time"))
-    day_of = F.lit(target).cast("date")
-    inside = rows.where((date >= F.date_format(F.date_sub(day_of, lookback), "yyyy-MM-dd")) & (date < target))
+    """The rows before the target day, with ``days`` and ``gap`` to it.
+
+    Times order as texts, so the range is on the column itself and reaches the scan.
+    """
+    date, first = day(F.col("time")), (datetime.date.fromisoformat(target) - datetime.timedelta(lookback)).isoformat()
+    inside = rows.where((F.col("time") >= first) & (F.col("time") < target))
     days = days_before(date, target)
     return inside.select(
         "user_id", "item_id", F.col("behavior_type").cast("int").alias("behavior_type"), "item_category", days.alias("days"),
@@ -88,6 +92,12 @@ def features_of_daily(partials: DataFrame, scope: str) -> DataFrame:
     return partials.groupBy(*SCOPES[scope]).agg(F.min("gap").cast("int").alias("last_hours_gap"), *counts)
 
 
+def scores_of_daily(partials: DataFrame, decay: float = 0.85, weights: dict[int, float] = WEIGHTS) -> DataFrame:
+    """A2: the scores from partials; whole units, so equal to those of the rows."""
+    units = F.sum(decayed_units(F.col("behavior_type"), F.col("days"), decay, weights) * F.col("n"))
+    return partials.groupBy("user_id", "item_id").agg(units.alias("units")).withColumn("score", F.col("units") / F.lit(float(UNIT)))
+
+
 def active_users(past: DataFrame) -> DataFrame:
     """A9."""
     return past.select("user_id").distinct()

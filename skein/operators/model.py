@@ -30,11 +30,15 @@ class ModelParams:
     feature_fraction: float = 0.9
     bagging_fraction: float = 0.8
     valid_ratio: float = 0.1
+    early_stopping_gain: float = 0.01
     seed: int = 42
 
 
 def train(rows: DataFrame, names: list[str], params: ModelParams = ModelParams()) -> PipelineModel:
-    """Fit to ``label`` with classes of equal weight and early stopping on a held-out share."""
+    """Fit to ``label`` with classes of equal weight and early stopping on a held-out share.
+
+    Stops where the held-out loss gains less than ``early_stopping_gain`` of itself; too few rows for a held-out share: no stopping.
+    """
     rows = rows.persist()
     sampling.require_both_classes(rows)
     bad = features.non_finite(rows, names).first()[0]
@@ -43,11 +47,14 @@ def train(rows: DataFrame, names: list[str], params: ModelParams = ModelParams()
     n = {r.label: r.n_rows for r in sampling.class_counts(rows).collect()}
     marked = sampling.random_split(rows, params.valid_ratio, params.seed)
     marked = marked.withColumn("weight", F.when(F.col("label") == 1, F.lit(n[0] / n[1])).otherwise(F.lit(1.0))).withColumn("label", F.col("label").cast("double"))
+    sides = {r.is_valid for r in marked.select("is_valid").distinct().collect()}
     trees = GBTClassifier(
-        labelCol="label", featuresCol="features", weightCol="weight", validationIndicatorCol="is_valid", lossType="logistic",
+        labelCol="label", featuresCol="features", weightCol="weight", lossType="logistic", validationTol=params.early_stopping_gain,
         maxIter=params.num_boost_round, stepSize=params.learning_rate, maxDepth=min(30, max(1, math.ceil(math.log2(params.num_leaves)))),
         minInstancesPerNode=params.min_data_in_leaf, featureSubsetStrategy=str(params.feature_fraction), subsamplingRate=params.bagging_fraction, seed=params.seed,
     )
+    if len(sides) == 2:
+        trees.setValidationIndicatorCol("is_valid")
     try:
         return Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), trees]).fit(marked)
     finally:

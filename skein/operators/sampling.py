@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 from skein.operators import select
 
 
-def _h(seed: int):
-    return F.xxhash64("user_id", "item_id", F.lit(seed))
+_h = select.pair_hash
 
 
 def split_by_user(rows: DataFrame, mod: int = 5, rem: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Training and validation users."""
+    """Training and validation users; neither side may be empty."""
     valid = F.pmod("user_id", F.lit(mod)) == rem
-    return rows.where(~valid), rows.where(valid)
+    parts = rows.where(~valid), rows.where(valid)
+    if any(p.isEmpty() for p in parts):
+        raise ValueError("a side of the split is empty")
+    return parts
 
 
 def classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

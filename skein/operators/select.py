@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.sources import work
+
 
 def ranked(scored: DataFrame, score: str = "score") -> DataFrame:
     """``rn`` within a user: falling score, then item."""
@@ -51,18 +53,28 @@ def hardest(candidates: DataFrame, n: int) -> DataFrame:
 
 def shuffled(rows: DataFrame, seed: int = 42) -> DataFrame:
     """By a hash of the pair, so reruns agree."""
-    return rows.orderBy(F.xxhash64("user_id", "item_id", F.lit(seed)))
+    return rows.orderBy(pair_hash(seed), "user_id", "item_id")
+
+
+def pair_hash(seed: int):
+    """A number below 2**60 from the pair and a seed, by md5: other engines have it too."""
+    named = F.concat_ws(":", F.col("user_id").cast("string"), F.col("item_id").cast("string"), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(named.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def score_order(rows: DataFrame, score: str = "score") -> DataFrame:
     """``pct``, the share of rows up to this one by rising score (ties: user, item).
 
-    A rank over the whole set without a single task for it: rows are counted by
-    score first, the running count goes over different scores only.
+    Rows are range-partitioned by score, user and item and written; each partition is ordered on its own, and
+    the number of rows before it is added. One row a partition reaches the driver, and no task has all rows.
     """
-    sizes = rows.groupBy(score).agg(F.count("*").alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum("__n").over(Window.partitionBy())
-    steps = sizes.select(score, before.alias("__before"), total.alias("__total"))
-    inside = F.row_number().over(Window.partitionBy(score).orderBy("user_id", "item_id"))
-    return rows.join(steps, score).withColumn("pct", (F.col("__before") + inside) / F.col("__total")).drop("__before", "__total")
+    spark, keys = rows.sparkSession, (score, "user_id", "item_id")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = work.written(rows.repartitionByRange(n, *keys).withColumn("__part", F.spark_partition_id()), "score-order")
+    before, total = [], 0
+    for part, size in sorted((r["__part"], r["n"]) for r in placed.groupBy("__part").agg(F.count("*").alias("n")).collect()):
+        before.append((part, total))
+        total += size
+    begins = F.broadcast(spark.createDataFrame(before, "__part int, __before long"))
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*keys))
+    return placed.withColumn("__k", inside).join(begins, "__part").withColumn("pct", (F.col("__before") + F.col("__k")) / F.lit(max(1, total))).select(*rows.columns, "pct")

@@ -2,7 +2,8 @@
 
 The fixture's ``events`` stand for a behaviour log; the target day and the other
 parameters are the same on both sides. Both sides sum scores in whole units, so
-they agree to the last digit; ratios are rounded to 6 places.
+they agree to the last digit; ratios are rounded to 6 places. The SQL states every
+formula on its own, not from the library's expressions.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from skein.operators import candidates, features, history, metrics, model, profile, sampling, select
 from skein.plans import flows
 from skein.schema import COUNTS
-from skein.sources import logs
+from skein.sources import logs, work
 from skein.streaming import incremental
 
 TARGET, LOOKBACK, K = "2024-01-29", 14, 10
@@ -124,9 +125,34 @@ def _q_bounded_counts(f: Fixture) -> DataFrame:
     return sampling.class_counts(sampling.bounded_rows(f.labelled(), 10, 100))
 
 
+def _q_non_finite(f: Fixture) -> DataFrame:
+    """Features of candidates with missing means and infinite scores, counted before they are made finite."""
+    full = f.full()
+    no_mean = F.when(F.col("user_id") % 4 != 0, F.col("item_score_mean"))
+    endless = F.when(F.col("item_id") % 5 == 1, F.lit(float("inf"))).otherwise(F.col("score"))
+    return features.non_finite(*features.raw(full.withColumn("item_score_mean", no_mean).withColumn("score", endless)))
+
+
+def _q_random_negatives(f: Fixture) -> DataFrame:
+    return sampling.random_rows(sampling.classes(f.labelled())[1], 40).select("user_id", "item_id")
+
+
+def _q_mixed_negatives(f: Fixture) -> DataFrame:
+    return sampling.hard_and_random(sampling.classes(f.labelled())[1], 40, 25).select("user_id", "item_id")
+
+
+def _q_stratified(f: Fixture) -> DataFrame:
+    return sampling.stratified(f.base(), 100).select("user_id", "item_id")
+
+
+def _q_random_split(f: Fixture) -> DataFrame:
+    return sampling.random_split(f.base(), 0.2).select("user_id", "item_id", F.col("is_valid").cast("int").alias("is_valid"))
+
+
 def _q_gbt(f: Fixture) -> DataFrame:
     built, names = features.build(f.full())
-    labelled = metrics.attach_labels(built.persist(), f.labels)
+    built = work.written(built, "features")  # read by the sample and by the scoring
+    labelled = metrics.attach_labels(built, f.labels)
     fitted = model.train(sampling.training_rows(labelled), names)
     return model.predict(fitted, built).select("user_id", "item_id", "probability_1")
 
@@ -177,7 +203,11 @@ _QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "user_mod_split": _q_split,
     "submission_check": _q_submission,
     "strategy_choice": _q_strategy,
-    "non_finite_check": lambda f: features.non_finite(*features.build(f.full())),
+    "non_finite_check": _q_non_finite,
+    "random_negatives": _q_random_negatives,
+    "mixed_negatives": _q_mixed_negatives,
+    "stratified_rows": _q_stratified,
+    "random_split": _q_random_split,
     "promotion_gate": _q_gate,
     "sample_counts": _q_sample_counts,
     "bounded_sample_counts": _q_bounded_counts,
@@ -215,9 +245,61 @@ def _joined(scope: str) -> str:
 _UNITS = "CAST(sum(CAST(floor(CASE behavior_type WHEN 1 THEN 1.0::DOUBLE WHEN 2 THEN 3.0 WHEN 3 THEN 6.0 ELSE 10.0 END * pow(0.85::DOUBLE, days) * 1e9 + 0.5) AS BIGINT)) AS BIGINT)"
 
 
+#: The order of random picks with seed 42.
+_PAIR_HASH = "('0x' || substr(md5(concat_ws(':', user_id, item_id, '42')), 1, 15))::BIGINT"
+
+#: H1 to H5 with the default weights and a threshold of 5 clicks.
+_HYBRID = """p
+  * CASE WHEN p_b2_1d + p_b3_1d + p_b4_1d > 0 THEN 1.25::DOUBLE ELSE 1 END
+  * (1 + 0.5::DOUBLE * least((p_b1_1d + 3 * p_b2_1d + 6 * p_b3_1d + 10 * p_b4_1d)::DOUBLE / (u_b1_1d + 3 * u_b2_1d + 6 * u_b3_1d + 10 * u_b4_1d + 1), 1.5))
+  * (1 + 0.25::DOUBLE * least(i_b4_14d::DOUBLE / (i_b1_14d + 1), 1))
+  * (1 + 0.1::DOUBLE * least(24 * (1::DOUBLE / (least(p_last_hours_gap, 99999) + 1)), 1))
+  * CASE WHEN i_b1_14d >= 5 AND i_b4_14d = 0 THEN 0.05::DOUBLE ELSE 1 END"""
+
+
+def _feature_sql(enhanced: bool) -> dict[str, str]:
+    """X1 to X25 by name."""
+    sql = {
+        "score": "score", "rn": "rn", "log_score": "ln(1 + score)", "rank_inv": "1::DOUBLE / rn", "rank_pct": "rn / (user_candidate_count + 1e-6::DOUBLE)",
+        "score_div_user_max": "score / (user_score_max + 1e-6::DOUBLE)", "score_div_user_sum": "score / (user_score_sum + 1e-6::DOUBLE)",
+        "score_minus_user_mean": "score - user_score_mean", "score_minus_item_mean": "score - item_score_mean",
+        "user_candidate_count_log": "ln(1::DOUBLE + user_candidate_count)", "item_candidate_user_count_log": "ln(1::DOUBLE + item_candidate_user_count)",
+        "user_score_std": "sqrt(greatest(user_score_sq_sum / (user_candidate_count + 1e-6::DOUBLE) - user_score_mean ** 2, 0))",
+        "item_score_std": "sqrt(greatest(item_score_sq_sum / (item_candidate_user_count + 1e-6::DOUBLE) - item_score_mean ** 2, 0))",
+        "user_score_mean": "user_score_mean", "user_candidate_count": "user_candidate_count",
+        "item_score_mean": "item_score_mean", "item_candidate_user_count": "item_candidate_user_count", "item_category": "coalesce(item_category, -1)",
+        "p_buy_share_user_14d": "p_b4_14d::DOUBLE / (u_b4_14d + 1)", "p_buy_share_item_14d": "p_b4_14d::DOUBLE / (i_b4_14d + 1)",
+        "p_buy_share_cat_14d": "p_b4_14d::DOUBLE / (c_b4_14d + 1)", "p_buy_share_uc_14d": "p_b4_14d::DOUBLE / (uc_b4_14d + 1)",
+        "p_cart_share_user_14d": "p_b3_14d::DOUBLE / (u_b3_14d + 1)", "p_cart_share_item_14d": "p_b3_14d::DOUBLE / (i_b3_14d + 1)",
+        "p_cart_share_cat_14d": "p_b3_14d::DOUBLE / (c_b3_14d + 1)", "p_cart_share_uc_14d": "p_b3_14d::DOUBLE / (uc_b3_14d + 1)",
+    }
+    engaged = "({0}_b1_{1}d + 3 * {0}_b2_{1}d + 6 * {0}_b3_{1}d + 10 * {0}_b4_{1}d)::DOUBLE"
+    for scope in ("p", "u", "i", "c", "uc"):
+        b1, b2, b3, b4 = (f"{scope}_b{k}_14d" for k in (1, 2, 3, 4))
+        sql |= {f"{scope}_{n}": f"{scope}_{n}" for n in _COUNT_NAMES}
+        sql |= {
+            f"{scope}_last_hours_gap": f"greatest(0, least({scope}_last_hours_gap, 99999))",
+            f"{scope}_last_hours_gap_inv": f"1::DOUBLE / (greatest(0, least({scope}_last_hours_gap, 99999)) + 1)",
+            f"{scope}_buy_click_ratio_14d": f"{b4}::DOUBLE / ({b1} + 1)", f"{scope}_buy_fav_ratio_14d": f"{b4}::DOUBLE / ({b2} + 1)",
+            f"{scope}_buy_cart_ratio_14d": f"{b4}::DOUBLE / ({b3} + 1)",
+            f"{scope}_engage_14d": engaged.format(scope, 14), f"{scope}_engage_1d": engaged.format(scope, 1),
+        }
+        if enhanced and scope not in ("u", "i"):
+            sql[f"{scope}_buy_click_ratio_14d_s"] = f"({b4} + 1)::DOUBLE / ({b1} + 2)"
+            sql[f"{scope}_buy_cart_ratio_14d_s"] = f"({b4} + 1)::DOUBLE / ({b3} + 2)"
+    if enhanced:
+        day = {x: engaged.format(x, 1) for x in ("p", "u", "uc")}
+        sql |= {
+            "recency_intent_cross": f"least(24 * (1::DOUBLE / (least(p_last_hours_gap, 99999) + 1)), 1) * ln(1 + {day['p']})",
+            "pair_share_in_user_1d": f"{day['p']} / ({day['u']} + 1)", "pair_share_in_uc_1d": f"{day['p']} / ({day['uc']} + 1)",
+            "strong_intent_flag": "CASE WHEN p_b2_1d + p_b3_1d > 0 AND p_b4_1d = 0 THEN 1 ELSE 0 END",
+            "zombie_item_flag": "CASE WHEN i_b1_14d + i_b2_14d + i_b3_14d >= 60 AND i_b4_14d = 0 THEN 1 ELSE 0 END",
+        }
+    return sql
+
+
 def _with() -> str:
     scopes = ",\n".join(f"{s}_features AS (SELECT {', '.join(k)}, {_measures()} FROM past GROUP BY {', '.join(k)})" for s, k in history.SCOPES.items())
-    hybrid = " * ".join(RULES.factors().values())
     return f"""WITH log AS (
   SELECT event_id, user_id, CAST(props->>'$.k' AS BIGINT) AS item_id,
     CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 3 ELSE 4 END AS behavior_type,
@@ -249,7 +331,7 @@ full_c AS (
   LEFT JOIN category_features c ON c.item_category = m.item_category
   LEFT JOIN user_category_features uc ON uc.user_id = base.user_id AND uc.item_category = m.item_category),
 pseudo AS (SELECT *, score / (user_score_max + 1e-6::DOUBLE) AS p FROM full_c),
-hybrids AS (SELECT *, round(CAST(p AS DOUBLE) * {hybrid}, 6) AS hybrid FROM pseudo),
+hybrids AS (SELECT *, round({_HYBRID}, 6) AS hybrid FROM pseudo),
 labelled AS (SELECT f.*, CASE WHEN b.user_id IS NULL THEN 0 ELSE 1 END AS label FROM full_c f LEFT JOIN buys b USING (user_id, item_id)),
 placed AS (SELECT *, row_number() OVER (ORDER BY hybrid DESC, user_id, item_id) AS place FROM hybrids),
 strata AS (
@@ -288,14 +370,8 @@ def _best(evaluated: str, key: str) -> str:
 
 
 def _features_sql(enhanced: bool, pick: Callable[[str], bool]) -> str:
-    every = features.registry(enhanced)
-
-    def one(n: str) -> str:
-        # this engine divides decimals otherwise; numbers are taken as doubles
-        e = features.re.sub(r"(?<![\w.])(\d+\.\d+)", r"CAST(\1 AS DOUBLE)", every[n])
-        return f"round(CAST({e} AS DOUBLE), 6) AS f_{n}"
-
-    return f"SELECT user_id, item_id, {', '.join(one(n) for n in sorted(every) if pick(n))} FROM full_c"
+    chosen = ", ".join(f"round(CAST({e} AS DOUBLE), 6) AS f_{n}" for n, e in sorted(_feature_sql(enhanced).items()) if pick(n))
+    return f"SELECT user_id, item_id, {chosen} FROM full_c"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -321,6 +397,8 @@ UNION ALL SELECT 'global', n, f1 FROM ({_best(exact_f1, 'n')})) ORDER BY f1 DESC
 round(coalesce(stddev_samp(score) OVER u, 0), 6) AS user_score_std, count(*) OVER u AS user_candidate_count, round(max(score) OVER i, 6) AS item_score_max,
 round(avg(score) OVER i, 6) AS item_score_mean, round(coalesce(stddev_samp(score) OVER i, 0), 6) AS item_score_std, count(*) OVER i AS item_candidate_user_count
 FROM base WINDOW u AS (PARTITION BY user_id), i AS (PARTITION BY item_id)"""
+    wrong = " + ".join(f"sum(CASE WHEN {e} IS NULL OR isnan(CAST({e} AS DOUBLE)) OR isinf(CAST({e} AS DOUBLE)) THEN 1 ELSE 0 END)" for e in _feature_sql(True).values())
+    hardest = "SELECT *, row_number() OVER (ORDER BY rn, score DESC, user_id) AS place FROM labelled WHERE label = 0"
     profile_ratio = "CAST(sum(CASE WHEN {c} IS NULL OR {c} = '' THEN 1 ELSE 0 END) AS BIGINT) AS n_missing_geohash, round(avg(CASE WHEN {c} IS NULL OR {c} = '' THEN 1.0 ELSE 0.0 END), 6) AS missing_ratio"
     sql = {
         "profile_items": f"SELECT count(*) AS n_rows, count(DISTINCT item_id) AS n_items, count(DISTINCT item_category) AS n_categories, {profile_ratio.format(c='item_geohash')} FROM items",
@@ -359,7 +437,13 @@ FROM base WINDOW u AS (PARTITION BY user_id), i AS (PARTITION BY item_id)"""
         "user_mod_split": "SELECT CASE WHEN user_id % 5 = 0 THEN 'valid' ELSE 'train' END AS part, count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM base GROUP BY 1",
         "submission_check": f"SELECT count(*) AS n_rows, count(DISTINCT (user_id, item_id)) AS n_pairs, count(DISTINCT user_id) AS n_users FROM ranked WHERE rn <= {K}",
         "strategy_choice": strategy,
-        "non_finite_check": "SELECT CAST(0 AS BIGINT) AS n_non_finite",
+        "non_finite_check": f"SELECT CAST({wrong} AS BIGINT) AS n_non_finite FROM (SELECT * REPLACE (CASE WHEN user_id % 4 <> 0 THEN item_score_mean END AS item_score_mean, CASE WHEN item_id % 5 = 1 THEN 'inf'::DOUBLE ELSE score END AS score) FROM full_c)",
+        "random_negatives": f"SELECT user_id, item_id FROM labelled WHERE label = 0 ORDER BY {_PAIR_HASH}, user_id, item_id LIMIT 40",
+        "mixed_negatives": f"SELECT user_id, item_id FROM ({hardest}) WHERE place <= 25 UNION ALL SELECT * FROM (SELECT user_id, item_id FROM ({hardest}) WHERE place > 25 ORDER BY {_PAIR_HASH}, user_id, item_id LIMIT 15)",
+        "stratified_rows": f"SELECT user_id, item_id FROM (SELECT s.*, greatest(row_number() OVER (PARTITION BY stratum ORDER BY {_PAIR_HASH}, user_id, item_id) - quota, 0) AS over FROM strata s JOIN ({quota}) q USING (stratum)) ORDER BY over, {_PAIR_HASH}, user_id, item_id LIMIT 100",
+        "random_split": f"SELECT user_id, item_id, CASE WHEN {_PAIR_HASH} % 10000 < 2000 THEN 1 ELSE 0 END AS is_valid FROM base",
+        "sample_counts": "SELECT label, CASE label WHEN 1 THEN count(*) ELSE least(count(*), 3 * (SELECT count(*) FROM labelled WHERE label = 1)) END AS n_rows FROM labelled GROUP BY label",
+        "bounded_sample_counts": "SELECT label, least(count(*), CASE label WHEN 1 THEN 10 ELSE 100 END) AS n_rows FROM labelled GROUP BY label",
         "promotion_gate": f"SELECT n, round(f1, 6) AS f1, CASE {gates} ELSE 'continue' END AS gate FROM ({exact_f1})",
     }
     sql |= {n: _features_sql(*x) for n, x in _FEATURE_QUERIES.items()}

@@ -8,15 +8,20 @@ the evaluation day. What several steps read is written once as Parquet
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
+from py4j.protocol import Py4JError
+from pyspark import InheritableThread
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.operators import candidates, features, history, metrics, model, sampling, select
 from skein.operators.features import Rules
 from skein.schema import WEIGHTS
+from skein.sources import work
 
 
 @dataclass
@@ -31,12 +36,15 @@ class Tables:
 
     @staticmethod
     def build(log: DataFrame, items: DataFrame, target: str, lookback: int = 14, decay: float = 0.85, weights=WEIGHTS, path: str | None = None) -> Tables:
-        """With ``path`` each table is written below it and read again."""
+        """With ``path`` each table is written below it and read again.
+
+        The history is read once, into daily partials from which scores and all scopes come.
+        """
         rows = history.of_items(log, items)
-        past = history.history(rows, target, lookback)
+        past = work.written(history.daily(history.history(rows, target, lookback)), "daily")
         made = {
-            "scores": history.scores(past, decay, weights), "labels": history.labels(rows, target), "active_users": history.active_users(past),
-            "item_category_map": history.item_category_map(rows), **{f"{s}_features": history.features_of(past, s) for s in history.SCOPES},
+            "scores": history.scores_of_daily(past, decay, weights), "labels": history.labels(rows, target), "active_users": history.active_users(past),
+            "item_category_map": history.item_category_map(rows), **{f"{s}_features": history.features_of_daily(past, s) for s in history.SCOPES},
         }
         if path:
             for name, df in made.items():
@@ -87,7 +95,7 @@ def rerank(
     begun = time.monotonic()
     cand = tables.candidates(k)
     built, names = features.build(cand, enhanced)
-    built = built.persist()  # read by the sample and by the scoring
+    built = work.written(built, "features")  # read by the sample and by the scoring
     labelled = metrics.attach_labels(built, tables.labels)
     sample = sampling.bounded_rows(labelled) if bounded else sampling.training_rows(labelled, neg_pos_ratio, mode, params.seed)
     fitted = model.train(sample, names, params)
@@ -124,9 +132,9 @@ def fusion_search(
     return {"trials": trials, "best": best, "metric_protocol": "global_topn"}
 
 
-def submit(tables: Tables, fitted, best: dict, rules: Rules = Rules(), user_cap: int = 0) -> DataFrame:
-    """The best K and N on another day's tables."""
-    return select.global_topn(fused(tables, best["k"], fitted, rules), best["n"], "hybrid", user_cap).select("user_id", "item_id")
+def submit(tables: Tables, fitted, best: dict, rules: Rules = Rules(), user_cap: int = 0, second=None, share: float = 0.0) -> DataFrame:
+    """The best K and N, and the same one or two models, on another day's tables."""
+    return select.global_topn(fused(tables, best["k"], fitted, rules, second, share), best["n"], "hybrid", user_cap).select("user_id", "item_id")
 
 
 def choose_strategy(per_user: dict, global_: dict, forced: str = "auto") -> str:
@@ -210,18 +218,53 @@ def require_protocol(summary: dict, wanted: str = "global_topn") -> None:
 
 
 def with_fallbacks(attempts: list[Callable[[], object]], hours: float = 4.0):
-    """The first attempt that works within the time cap (fewer negatives, plainer features, ...)."""
-    begun, error = time.monotonic(), None
-    for attempt in attempts:
-        if error is not None and time.monotonic() - begun > 3600 * hours:
+    """The first attempt that works within the time cap (fewer negatives, plainer features, ...).
+
+    An attempt that runs over what is left of the cap has its Spark jobs cancelled. What fails an attempt: wrong
+    values, arithmetic, and whatever Spark raises.
+    """
+    ends, error = time.monotonic() + 3600 * hours, None
+    for k, attempt in enumerate(attempts):
+        left = ends - time.monotonic()
+        if left <= 0:
             break
         try:
-            return attempt()
-        except (ValueError, ArithmeticError) as e:
+            return _within(attempt, left, f"attempt-{k}-{uuid.uuid4().hex}")
+        except (ValueError, ArithmeticError, TimeoutError, PySparkException, Py4JError) as e:
             error = e
     raise RuntimeError("no attempt worked") from error
 
 
+def _within(attempt: Callable[[], object], seconds: float, group: str):
+    """``attempt`` in a thread whose Spark jobs are cancelled after so many seconds."""
+    spark, out = SparkSession.getActiveSession(), {}
+
+    def run() -> None:
+        try:
+            if spark:
+                spark.sparkContext.setJobGroup(group, group, True)
+            out["value"] = attempt()
+        except BaseException as e:  # raised again by the caller's thread
+            out["error"] = e
+
+    thread = InheritableThread(target=run, daemon=True) if spark is None else InheritableThread(target=run, daemon=True, session=spark)
+    thread.start()
+    thread.join(seconds)
+    if thread.is_alive():
+        if spark:
+            spark.sparkContext.cancelJobGroup(group)
+        raise TimeoutError(f"over {seconds:.0f} s")
+    if "error" in out:
+        raise out["error"]
+    return out["value"]
+
+
+def fallback_attempts(tables: Tables, k: int, grid: list[int], params: model.ModelParams, ratio: int = 30) -> list[Callable[[], Reranked]]:
+    """As asked, then without enhanced features, then with half and a quarter of the negatives besides."""
+    plans = ((True, ratio), (False, ratio), (False, max(1, ratio // 2)), (False, max(1, ratio // 4)))
+    return [lambda e=e, n=n: rerank(tables, k, grid, params, n, enhanced=e) for e, n in plans]
+
+
 #: Model presets.
 PRESETS = {
     "P1": model.ModelParams(num_boost_round=400, learning_rate=0.05, num_leaves=63, min_data_in_leaf=50),

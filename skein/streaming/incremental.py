@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.functions.scalars import UNIT, day, days_before, decayed_units, hour, hours_gap
-from skein.schema import WEIGHTS
+from skein.functions.scalars import day, days_before, hour, hours_gap
+from skein.operators import history
 
 KEYS = ("user_id", "item_id", "item_category", "behavior_type", "date", "hour")
 
@@ -46,9 +46,7 @@ def history_of(kept: DataFrame, target: str, lookback: int = 14) -> DataFrame:
     return inside.withColumn("days", days).withColumn("gap", hours_gap(days, F.col("hour")))
 
 
-def scores_of(past: DataFrame, decay: float = 0.85, weights: dict[int, float] = WEIGHTS) -> DataFrame:
-    units = F.sum(decayed_units(F.col("behavior_type"), F.col("days"), decay, weights) * F.col("n"))
-    return past.groupBy("user_id", "item_id").agg(units.alias("units")).withColumn("score", F.col("units") / F.lit(float(UNIT)))
+scores_of = history.scores_of_daily
 
 
 def windowed_counts(stream: DataFrame, watermark: str = "1 day", window: str = "1 day") -> DataFrame:

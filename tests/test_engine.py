@@ -238,8 +238,100 @@ def test_submission(spark, log, items, tmp_path):
     assert '"f1": 0.1' in (tmp_path / "s.json").read_text()
 
 
-def test_counts_of_windows():
+def test_counts_of_windows(spark, tmp_path):
     assert [n for n, _, _ in COUNTS][:5] == ["b1_1d", "b2_1d", "b3_1d", "b4_1d", "b1_3d"] and len(COUNTS) == 16
+    rows = [("2024-01-01 10:00:00", "view", 1), ("2024-01-01 23:59:59", "view", 1), ("2024-01-02 00:00:00", "view", 2), ("2024-01-01 01:00:00", "purchase", 3)]
+    data = spark.createDataFrame(rows, "ts string, event_type string, id long")
+    data.coalesce(1).write.parquet(str(tmp_path / "in"))
+
+    def drained(name, make, mode):
+        out = make(spark.readStream.schema(data.schema).parquet(str(tmp_path / "in")))
+        out.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination()
+        return spark.table(name).collect()
+
+    got = {(str(r.window.start)[:10], r.event_type): r.n for r in drained("counted", incremental.windowed_counts, "complete")}
+    assert got == {("2024-01-01", "view"): 2, ("2024-01-02", "view"): 1, ("2024-01-01", "purchase"): 1}
+    assert sorted(r.id for r in drained("deduped", lambda s: incremental.first_of_each(s, ["id"]), "append")) == [1, 2, 3]
+
+
+def test_time_filters_reach_the_scan(spark, log, items, tmp_path):
+    log.write.parquet(str(tmp_path / "log"))
+    rows = spark.read.parquet(str(tmp_path / "log"))
+    plan = history.history(rows, TARGET)._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(time,2014-12-04)" in plan and "LessThan(time,2014-12-18)" in plan
+    assert "StringStartsWith(time,2014-12-18)" in history.labels(rows, TARGET)._jdf.queryExecution().toString()
+
+
+def test_features_without_moments_or_ranks(spark):
+    rows = spark.createDataFrame([(1, 1, 2.0, "7"), (1, 2, 4.0, "x"), (2, 1, 1.0, None)], "user_id long, item_id long, score double, rn string")
+    built, names = features.build(candidates.fallback_stats(rows))
+    got = {(r.user_id, r.item_id): r for r in built.collect()}
+    assert {"user_score_std", "item_score_std"} <= set(names)
+    assert got[1, 1].user_score_std == pytest.approx(2**0.5) and got[2, 1].user_score_std == 0
+    built, _ = features.build(candidates.fallback_stats(rows).withColumn("rn", F.lit(None).cast("long")))
+    assert {(r.rn, r.rank_inv) for r in built.collect()} == {(999.0, 1 / 999)}
+    assert [r.x for r in rows.orderBy("user_id", "item_id").select(scalars.finite(F.col("rn")).alias("x")).collect()] == [7.0, 0.0, 0.0]
+
+
+def test_order_is_not_in_one_task(spark):
+    rows = spark.createDataFrame([(u, i, float(i % 3)) for u in range(20) for i in range(20)], "user_id long, item_id long, score double")
+    plan = select.score_order(rows)._jdf.queryExecution().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_split_needs_both_sides(spark):
+    with pytest.raises(ValueError, match="empty"):
+        sampling.split_by_user(spark.createDataFrame([(1,), (2,)], "user_id long"))
+
+
+def test_fallbacks_after_spark_errors_and_over_time(spark):
+    import time
+
+    def broken():
+        return spark.sql("select * from there_is_no_such_table").collect()
+
+    assert flows.with_fallbacks([broken, lambda: spark.range(3).count()]) == 3
+
+    def slow():
+        time.sleep(30)
+
+    begun = time.monotonic()
+    with pytest.raises(RuntimeError):
+        flows.with_fallbacks([slow, lambda: 1], hours=1 / 3600)
+    assert time.monotonic() - begun < 15
+
+
+def test_submission_with_two_models(spark, log, items):
+    t = flows.Tables.build(log, items, TARGET)
+    built, _ = features.build(t.candidates(5))
+    sample = metrics.attach_labels(built, t.scores.where("user_id = 1")).unionByName(metrics.attach_labels(built, t.scores.where("user_id = 2")))
+    one, two = (model.train(sample, names, model.ModelParams(2, 0.5, 7, 1, valid_ratio=0.01)) for names in (["score", "p_b4_14d"], ["i_b1_14d", "score"]))
+    best, rules = {"k": 5, "n": 2}, features.Rules.neutral()
+    got = flows.fused(t, 5, one, rules, two, 0.25)
+    parts = [{(r.user_id, r.item_id): r.probability_1 for r in model.predict(m, built).collect()} for m in (one, two)]
+    assert {(r.user_id, r.item_id): r.hybrid for r in got.collect()} == {k: pytest.approx(0.75 * v + 0.25 * parts[1][k]) for k, v in parts[0].items()}
+    want = sorted(((r.user_id, r.item_id) for r in select.global_topn(got, 2, "hybrid").collect()))
+    assert sorted(tuple(r) for r in flows.submit(t, one, best, rules, 0, two, 0.25).collect()) == want
+
+
+def test_flows_from_the_command_line(spark, tmp_path):
+    from skein.__main__ import run
+
+    r = random.Random(6)
+    days = [f"2014-12-{d:02d} {h:02d}" for d in range(8, 19) for h in (3, 15)]
+    rows = [(r.randint(1, 25), r.randint(1, 15), r.choice([1, 1, 1, 2, 3, 4]), "g", r.randint(1, 3), r.choice(days)) for _ in range(3000)]
+    (tmp_path / "behavior_a.txt").write_text("\n".join("\t".join(map(str, x)) for x in rows[:1500]) + "\n")
+    (tmp_path / "behavior_b.txt").write_text("\n".join("\t".join(map(str, x)) for x in rows[1500:]) + "\n")
+    (tmp_path / "items.txt").write_text("\n".join(f"{i}\tg\t1" for i in range(1, 13)) + "\n")
+    where = ["--data-dir", str(tmp_path)]
+    one = run(spark, ["baseline", *where, "--output-dir", str(tmp_path / "a"), "--topk-grid", "2,4"])
+    assert one["k"] in (2, 4) and one["submission"]["valid"] and (tmp_path / "a" / "summary.json").exists()
+    small = ["--global-topn-grid", "5,20", "--candidate-topk", "6", "--num-boost-round", "2", "--num-leaves", "7", "--min-data-in-leaf", "2"]
+    two = run(spark, ["rerank", *where, "--output-dir", str(tmp_path / "b"), *small])
+    assert two["best"]["n"] in (5, 20) and two["submission"]["rows"] == two["best"]["n"]
+    both = ["--model-path", str(tmp_path / "b" / "model"), "--second-model-path", str(tmp_path / "b" / "model"), "--second-model-weight", "0.4"]
+    three = run(spark, ["fusion", *where, "--output-dir", str(tmp_path / "c"), *small, *both, "--candidate-topk-grid", "3,6", "--global-topn", "7"])
+    assert three["best"]["n"] == 7 and three["submission"]["rows"] == 7 and len(three["trials"]) == 4
 
 
 def test_presets_are_the_reference_s():
