@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,7 +35,26 @@ _LOCAL: str | None = None
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/skein/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/skein/{name}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
+
+
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextlib.contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the work tables that were made inside; what was read from them must be done by then."""
+    token = _MADE.set([])
+    try:
+        yield
+    finally:
+        made = _MADE.get()
+        _MADE.reset(token)
+        for path in made:
+            delete(spark, path)
 
 
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
