@@ -20,7 +20,8 @@ else, and the result is that of decoding the whole text.
 
 Spans are (start, kind, end) in code points, end exclusive. Base spans always
 stay; added spans never overlap them. Defined cases: null and empty texts have
-no spans; equal ids are handled one by one; very long texts are handled whole.
+no spans; equal ids are handled one by one; very long texts are handled whole; of added spans that tie the
+leftmost stays; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -365,7 +366,7 @@ def spell(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 
 
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long"
 
 
 def found(docs: DataFrame) -> DataFrame:
@@ -382,7 +383,7 @@ def found(docs: DataFrame) -> DataFrame:
                 for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     base, added = all_spans(t or "", shared.value, memo)
                     kinds = [k for _, k, _ in base]
-                    rows.append((d, *(kinds.count(k) for k in range(4)), hashlib.sha256(spell(base).encode()).hexdigest(), spell(base + added), len(added)))
+                    rows.append((d, *(kinds.count(k) for k in range(4)), hashlib.sha256(spell(base).encode()).hexdigest(), spell(base + added), len(added), len(base) + len(added)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if n in ("base_sha256", "spans") else pa.int64()) for c, n in zip(zip(*rows), names)], names=names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(map_batches, run, SCHEMA)

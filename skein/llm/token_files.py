@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm.byte_bpe import Encoder
-from skein.llm.scratch import new_path, written
+from skein.llm.scratch import cleared, new_path, written
 from skein.llm.textarrays import slices
 from skein.llm.workers import hold, map_batches, tidy, trim
 
@@ -254,6 +254,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def token_files(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int = 0) -> str:
     """Encode ``docs`` and write the files; returns where they are."""
     path = path or new_path(docs.sparkSession, "token-files")
-    blocks = encode(docs, tokenizer, end_id)
-    write(blocks, ranks(blocks), path)
+    with cleared(docs.sparkSession):
+        blocks = encode(docs, tokenizer, end_id)
+        write(blocks, ranks(blocks), path)
     return path
