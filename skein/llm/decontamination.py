@@ -29,7 +29,8 @@ shuffled.
 
 Defined cases: null or empty texts match nothing; items without terms match
 nothing; equal items are all reported; rows of equal id report the same pairs
-once; an empty benchmark gives no rows.
+once, the best passage of each (ties: the later one); texts and items of any length
+are searched whole; an empty benchmark or table gives no rows.
 """
 
 from __future__ import annotations

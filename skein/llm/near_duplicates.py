@@ -29,7 +29,8 @@ similar one with less.
 Defined cases: a text with fewer words than a shingle is one shingle of all its
 words; null texts and texts without words are in no class but their own; rows of
 equal id are the same document (their texts should agree); a null id has a null
-class, and no other row is compared with it.
+class, and no other row is compared with it; texts of any length are compared whole;
+of texts that tie for a bucket's hub the one of least id is it; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -10,8 +10,9 @@ A text is first cut where no merge can ever reach across: between two characters
 that stand side by side in no vocabulary entry. Pieces recur, so a worker keeps
 the counts of up to ``MEMO_PIECES`` of them.
 
-Defined cases: a null text counts as empty and has 0 tokens; equal ids are
-counted one by one.
+Defined cases: a null text counts as empty and has 0 tokens; texts of any length are
+counted whole; of pairs of equal rank the leftmost merges first; equal ids are
+counted one by one; an empty table gives no rows.
 """
 
 from __future__ import annotations
