@@ -174,7 +174,7 @@ def mixed_documents(docs: DataFrame, share: float = 1.0, max_repeats: int = 3, s
     taken = written(taken.select(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("t").alias("__u"), "__n", "__m"), "mix-taken")
     keyed = docs.withColumn("__t", _same(F.col("text")))
     on = F.col("doc_id").cast("long").eqNullSafe(F.col("__d")) & F.col("source").cast("string").eqNullSafe(F.col("__s")) & (F.col("__t") == F.col("__u"))
-    rows = keyed.join(taken, on)
+    rows = keyed.join(taken.hint("merge"), on)  # there is a row for most documents, so it is no side to broadcast
     if not taken.where("__m > 1").isEmpty():
         rows = rows.where("__m = 1").unionByName(rows.where("__m > 1").dropDuplicates(["__d", "__s", "__u"]))
     return rows.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n")))).select(*docs.columns)
