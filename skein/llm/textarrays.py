@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be inverted modulo 2**64
